@@ -186,8 +186,30 @@ def register(**more: str) -> None:
     CTES.update(more)
 
 
+def decimal_rounding(sql: str) -> str:
+    """round(x, d) as decimal rounding with two spare digits, as the operators round."""
+    out, i = [], 0
+    while (m := re.compile(r"\bround\(").search(sql, i)) is not None:
+        depth, j, comma = 1, m.end(), None
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[j], 0)
+            if sql[j] == "," and depth == 1:
+                comma = j
+            j += 1
+        digits = sql[comma + 1:j - 1].strip() if comma else ""
+        if digits.isdigit():
+            inner = decimal_rounding(sql[m.end():comma])
+            text = f"CAST(round(TRY_CAST({inner} AS DECIMAL(38,{int(digits) + 2})), {digits}) AS DOUBLE)"
+        else:
+            text = "round(" + decimal_rounding(sql[m.end():j - 1]) + ")"
+        out += [sql[i:m.start()], text]
+        i = j
+    return "".join(out) + sql[i:]
+
+
 def expand(body: str) -> str:
     """Prefix ``body`` with the CTEs it names, dependencies first."""
+    body = decimal_rounding(body)
     needed: list[str] = []
 
     def visit(text: str, me: str | None = None) -> None:
@@ -198,7 +220,7 @@ def expand(body: str) -> str:
                     needed.append(name)
 
     visit(body)
-    parts = [f"{name} AS ({CTES[name].strip()})" for name in needed]
+    parts = [f"{name} AS ({decimal_rounding(CTES[name].strip())})" for name in needed]
     own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", body, re.I)
     if own:
         rest = body[own.end():]

@@ -1,6 +1,6 @@
 from checks import check
 from pyspark.sql import functions as F
-from tillwise.functions.exprs import safe_divide
+from tillwise.functions.exprs import round_to, safe_divide
 from tillwise.operators import sales
 
 PAID = "status IN ('paid', 'completed')"
@@ -145,4 +145,4 @@ def _(s, spark):
 @check("f14_safe_divide", """
     SELECT sku_id, round(coalesce(price / nullif(stock, 0), 0), 4) AS price_per_piece FROM s_sku""")
 def _(s, spark):
-    return s.sku.select("sku_id", F.round(safe_divide("price", "stock"), 4).alias("price_per_piece"))
+    return s.sku.select("sku_id", round_to(safe_divide("price", "stock"), 4).alias("price_per_piece"))

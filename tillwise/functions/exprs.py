@@ -21,9 +21,20 @@ def safe_divide(a, b, default: float = 0.0) -> Column:
     return F.coalesce(F.try_divide(col(a).cast("double"), col(b).cast("double")), F.lit(default))
 
 
+def round_to(value, digits: int = 2) -> Column:
+    """Round half away from zero, the same however a sum was partitioned.
+
+    Sums of doubles differ in the last bits with the order of addition, which
+    flips plain rounding at halves. Two spare decimal digits absorb that. NaN and
+    infinities give NULL.
+    """
+    exact = col(value).cast("double").try_cast(f"decimal(38,{digits + 2})")
+    return F.round(exact, digits).cast("double")
+
+
 def percent(a, b, digits: int = 2) -> Column:
     """100 * a / b rounded, 0 where b is 0."""
-    return F.round(safe_divide(a, b) * 100, digits)
+    return round_to(safe_divide(a, b) * 100, digits)
 
 
 def change(current, previous) -> Column:

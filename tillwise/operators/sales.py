@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tillwise.functions.exprs import change, is_paid, percent, safe_divide, year_month
+from tillwise.functions.exprs import change, is_paid, percent, round_to, safe_divide, year_month
 from tillwise.functions.scale import one_row, scalars
 
 
@@ -26,9 +26,9 @@ def headline(orders: DataFrame, lines: DataFrame, refunds: DataFrame, traffic: D
     raw = one_row(orders.sparkSession, o=o, r=r, p=p, s=s)
     gmv, n = F.col("o.gmv"), F.col("o.orders")
     return raw.select(
-        F.round(gmv, 2).alias("gmv"), F.round(gmv - F.col("r.amount"), 2).alias("net_sales"),
-        F.round("p.profit", 2).alias("gross_profit"), percent("p.profit", gmv).alias("gross_margin"),
-        n.alias("order_count"), F.col("o.buyers").alias("buyer_count"), F.round(safe_divide(gmv, n), 2).alias("aov"),
+        round_to(gmv, 2).alias("gmv"), round_to(gmv - F.col("r.amount"), 2).alias("net_sales"),
+        round_to("p.profit", 2).alias("gross_profit"), percent("p.profit", gmv).alias("gross_margin"),
+        n.alias("order_count"), F.col("o.buyers").alias("buyer_count"), round_to(safe_divide(gmv, n), 2).alias("aov"),
         percent("r.orders", "o.total").alias("refund_rate"),
         percent("s.paying", "s.sessions").alias("conversion_rate"))
 
@@ -62,18 +62,18 @@ def defined_metrics(orders: DataFrame, lines: DataFrame, refunds: DataFrame, tra
                     stages=("view_home", "view_product", "add_to_cart", "checkout", "pay_success")) -> DataFrame:
     """Rows (metric, value, definition); refund rate over PAID orders, funnel by event counts."""
     paid = is_paid()
-    o = scalars(orders.where(paid), gmv=F.round(F.sum("paid_amount"), 2), n=F.count("order_id"),
+    o = scalars(orders.where(paid), gmv=round_to(F.sum("paid_amount"), 2), n=F.count("order_id"),
                 buyers=F.count_distinct("user_id"))
-    r = scalars(refunds.where(F.col("status") == "approved"), amount=F.round(F.sum("amount"), 2),
+    r = scalars(refunds.where(F.col("status") == "approved"), amount=round_to(F.sum("amount"), 2),
                 n=F.count_distinct("order_id"))
-    p = scalars(lines.where(paid), profit=F.round(F.sum("gross_profit"), 2))
+    p = scalars(lines.where(paid), profit=round_to(F.sum("gross_profit"), 2))
     t = scalars(traffic, **{s: F.count_if(F.col("event_type") == s) for s in stages})
     raw = one_row(orders.sparkSession, o=o, r=r, p=p, t=t)
     gmv = F.coalesce("o.gmv", F.lit(0.0))
     values = {
-        "gmv": F.col("o.gmv"), "netSales": F.round(gmv - F.coalesce("r.amount", F.lit(0.0)), 2),
+        "gmv": F.col("o.gmv"), "netSales": round_to(gmv - F.coalesce("r.amount", F.lit(0.0)), 2),
         "grossProfit": F.col("p.profit"), "orderCount": F.col("o.n"), "buyerCount": F.col("o.buyers"),
-        "avgOrderValue": F.round(safe_divide(gmv, "o.n"), 2), "refundRate": F.round(safe_divide("r.n", "o.n"), 4),
+        "avgOrderValue": round_to(safe_divide(gmv, "o.n"), 2), "refundRate": round_to(safe_divide("r.n", "o.n"), 4),
         **{f"funnel.{s}": F.col(f"t.{s}") for s in stages},
     }
     rows = F.array(*[F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value"),
@@ -92,15 +92,15 @@ def monthly_trend(orders: DataFrame, lines: DataFrame | None = None) -> DataFram
     With ``lines`` a gross profit column is added.
     """
     by_month = W.orderBy("ym")  # one row per month
-    aov = F.round(F.col("gmv") / F.col("orders"), 2)
+    aov = round_to(F.col("gmv") / F.col("orders"), 2)
     out = _monthly(orders).withColumn("aov", aov)
     for c in ("gmv", "orders", "aov"):
         out = out.withColumn(f"{c}_mom", change(c, F.lag(c).over(by_month)))
-    out = out.select("ym", F.round("gmv", 2).alias("gmv"), "orders", "aov",
-                     *[F.round(f"{c}_mom", 6).alias(f"{c}_mom") for c in ("gmv", "orders", "aov")])
+    out = out.select("ym", round_to("gmv", 2).alias("gmv"), "orders", "aov",
+                     *[round_to(f"{c}_mom", 6).alias(f"{c}_mom") for c in ("gmv", "orders", "aov")])
     if lines is not None:
         profit = (lines.where(is_paid()).groupBy(year_month("order_date").alias("ym"))
-                  .agg(F.round(F.sum("gross_profit"), 2).alias("gross_profit")))
+                  .agg(round_to(F.sum("gross_profit"), 2).alias("gross_profit")))
         out = out.join(profit, "ym", "left")
     return out
 
@@ -114,7 +114,7 @@ def channel_breakdown(orders: DataFrame) -> DataFrame:
     g = (orders.where(is_paid()).groupBy("channel")
          .agg(F.sum("paid_amount").alias("gmv"), F.count("order_id").alias("orders"),
               F.count_distinct("user_id").alias("buyers")))
-    return _share(g).withColumn("gmv", F.round("gmv", 2))
+    return _share(g).withColumn("gmv", round_to("gmv", 2))
 
 
 def category_breakdown(lines: DataFrame, products: DataFrame, statuses=None) -> DataFrame:
@@ -132,7 +132,7 @@ def category_breakdown(lines: DataFrame, products: DataFrame, statuses=None) ->
     orders = (lines.select("order_id", "sku_id").join(category, "sku_id")
               .groupBy("category_name").agg(F.count_distinct("order_id").alias("orders")))
     out = totals.join(orders, "category_name")
-    return _share(out).select("category_name", F.round("gmv", 2).alias("gmv"), "orders", "sku_count", "share")
+    return _share(out).select("category_name", round_to("gmv", 2).alias("gmv"), "orders", "sku_count", "share")
 
 
 def member_contribution(orders: DataFrame, users: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def member_contribution(orders: DataFrame, users: DataFrame) -> DataFrame:
                 .agg(F.count("order_id").alias("orders"), F.sum("paid_amount").alias("gmv")))
     return (per_user.join(users.select("user_id", "member_level"), "user_id").groupBy("member_level")
             .agg(F.count(F.lit(1)).alias("buyers"), F.sum("orders").alias("orders"),
-                 F.round(F.sum("gmv"), 2).alias("gmv")))
+                 round_to(F.sum("gmv"), 2).alias("gmv")))
 
 
 def top_bottom_products(lines: DataFrame, products: DataFrame, top_n: int = 10) -> DataFrame:
@@ -150,7 +150,7 @@ def top_bottom_products(lines: DataFrame, products: DataFrame, top_n: int = 10)
                .join(products.select("sku_id", "product_name", "category_name"), "sku_id"))
     top = per_sku.orderBy(F.desc("gmv"), "sku_id").limit(top_n).withColumn("side", F.lit("top"))
     bottom = per_sku.orderBy("gmv", F.desc("sku_id")).limit(top_n).withColumn("side", F.lit("bottom"))
-    return top.unionByName(bottom).withColumn("gmv", F.round("gmv", 2))
+    return top.unionByName(bottom).withColumn("gmv", round_to("gmv", 2))
 
 
 def daily_by_channel(orders: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -160,17 +160,17 @@ def daily_by_channel(orders: DataFrame, start: str | None = None, end: str | Non
     if end:
         o = o.where(F.col("order_date") <= F.lit(end).cast("date"))
     return (o.groupBy("order_date", "channel")
-            .agg(F.round(F.sum("paid_amount"), 2).alias("gmv"), F.count("order_id").alias("orders")))
+            .agg(round_to(F.sum("paid_amount"), 2).alias("gmv"), F.count("order_id").alias("orders")))
 
 
 def latest_month_change(orders: DataFrame) -> DataFrame:
     """Percent change of the latest month with sales on the one before it."""
     m = (_monthly(orders, F.count_distinct("user_id").alias("buyers"))
-         .withColumn("aov", F.round(F.col("gmv") / F.col("orders"), 2)))
+         .withColumn("aov", round_to(F.col("gmv") / F.col("orders"), 2)))
     by_month = W.orderBy("ym")
     m = m.withColumn("previous_month", F.lag("ym").over(by_month))
     for c in ("gmv", "orders", "buyers", "aov"):
-        m = m.withColumn(f"{c}_mom", F.round(change(c, F.lag(c).over(by_month)) * 100, 2))
+        m = m.withColumn(f"{c}_mom", round_to(change(c, F.lag(c).over(by_month)) * 100, 2))
     return (m.where(F.col("previous_month").isNotNull()).orderBy(F.desc("ym")).limit(1)
             .select(F.col("ym").alias("current_month"), "previous_month", "gmv_mom", "orders_mom", "buyers_mom",
                     "aov_mom"))
@@ -181,11 +181,11 @@ def anomaly_months(orders: DataFrame, threshold: float = 0.10) -> DataFrame:
     by_month = W.orderBy("ym")
     m = _monthly(orders)
     rows = F.array(*[F.struct(F.lit(label).alias("indicator"), change(c, F.lag(c).over(by_month)).alias("move"),
-                              F.round(F.col(c).cast("double"), 2).alias("value"))
+                              round_to(F.col(c).cast("double"), 2).alias("value"))
                      for c, label in (("gmv", "GMV"), ("orders", "订单数"))])
     return (m.select("ym", rows.alias("rows")).select(F.col("ym").alias("month"), F.inline("rows"))
             .where(F.abs("move") > threshold)
-            .select("month", "indicator", F.round(F.col("move") * 100, 2).alias("change_pct"),
+            .select("month", "indicator", round_to(F.col("move") * 100, 2).alias("change_pct"),
                     F.when(F.col("move") > 0, "up").otherwise("down").alias("direction"), "value"))
 
 
@@ -195,6 +195,6 @@ def calendar_growth(orders: DataFrame) -> DataFrame:
     span = m.agg(F.explode(F.sequence(F.min("month"), F.max("month"), F.expr("interval 1 month"))).alias("month"))
     by_month = W.orderBy("month")
     full = span.join(m, "month", "left").withColumn("gmv", F.coalesce("gmv", F.lit(0.0)))
-    return full.select(year_month("month").alias("ym"), F.round("gmv", 2).alias("gmv"),
-                       F.round(change("gmv", F.lag("gmv", 1).over(by_month)), 6).alias("mom"),
-                       F.round(change("gmv", F.lag("gmv", 12).over(by_month)), 6).alias("yoy"))
+    return full.select(year_month("month").alias("ym"), round_to("gmv", 2).alias("gmv"),
+                       round_to(change("gmv", F.lag("gmv", 1).over(by_month)), 6).alias("mom"),
+                       round_to(change("gmv", F.lag("gmv", 12).over(by_month)), 6).alias("yoy"))

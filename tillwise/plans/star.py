@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.functions.exprs import is_paid, is_weekend, price_band, year_month
+from tillwise.functions.exprs import is_paid, is_weekend, price_band, round_to, year_month
 
 SOURCE_TABLES = (
     "users", "addresses", "categories", "spu", "sku", "campaigns", "coupons", "user_coupons", "carts",
@@ -147,9 +147,9 @@ def daily_summary(orders: DataFrame) -> DataFrame:
     return (orders.where(is_paid())
             .groupBy(F.col("order_date").alias("summary_date"), "channel")
             .agg(F.count("order_id").alias("orders"), F.count_distinct("user_id").alias("buyers"),
-                 F.round(F.sum("paid_amount"), 2).alias("gmv"),
-                 F.round(F.sum("discount_amount"), 2).alias("discount_amount"),
-                 F.round(F.avg("paid_amount"), 2).alias("avg_order_value")))
+                 round_to(F.sum("paid_amount"), 2).alias("gmv"),
+                 round_to(F.sum("discount_amount"), 2).alias("discount_amount"),
+                 round_to(F.avg("paid_amount"), 2).alias("avg_order_value")))
 
 
 VIEWS: dict[str, Callable[[Shop], DataFrame]] = {

@@ -90,7 +90,8 @@ def quantile_struct(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], **values: Column) -> DataFrame:
-    """Add running sums of ``values`` in a global ``order`` (which must have no ties).
+    """Add running sums of ``values`` in a global ``order`` (which must have no ties),
+    and each whole sum as ``total_{name}``.
 
     Rows are range-placed on the whole order, so equal leading values still
     spread over partitions; each partition is summed on its own and shifted by
@@ -102,9 +103,10 @@ def running_totals(df: DataFrame, order: Sequence[Column], **values: Column) ->
     placed = durable(placed.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
     earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (placed.groupBy("_part").agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in values])
-              .select("_part", *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}")
-                                 for n in values]))
+              .select("_part", *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in values],
+                      *[F.sum(f"_s_{n}").over(W.partitionBy()).alias(f"total_{n}") for n in values]))
     inside = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     # starts has one row per shuffle partition
     return (placed.join(F.broadcast(starts), "_part")
-            .select(*df.columns, *[(F.sum(f"_v_{n}").over(inside) + F.col(f"_o_{n}")).alias(n) for n in values]))
+            .select(*df.columns, *[(F.sum(f"_v_{n}").over(inside) + F.col(f"_o_{n}")).alias(n) for n in values],
+                    *[f"total_{n}" for n in values]))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tillwise.functions.exprs import percent, round_to, safe_divide, stock
-from tillwise.functions.scale import running_totals, scalars
+from tillwise.functions.scale import running_totals
 
 CLASSES = ("A", "B", "C")
 
@@ -49,11 +49,10 @@ def abc_classify(df: DataFrame, value: str, label: str, key: str = "sku_id",
 
     An item that alone passes the first limit is B or C, as its own value counts.
     """
-    total = scalars(df, t=F.sum(value))["t"]
     ranked = running_totals(df, [F.desc(value), F.asc(key)], cumulative=F.col(value))
-    share = round_to(F.try_divide(F.col("cumulative"), total), 10)
+    share = round_to(F.try_divide("cumulative", "total_cumulative"), 10)
     return (ranked.withColumn(f"abc_{label}", F.when(share <= a, "A").when(share <= b, "B").otherwise("C"))
-            .drop("cumulative"))
+            .drop("cumulative", "total_cumulative"))
 
 
 def _per_sku(lines: DataFrame, products: DataFrame) -> DataFrame:

@@ -7,12 +7,14 @@ bounded slice tables and windows over evenly sized slices.
 
 from __future__ import annotations
 
+import math
 import tempfile
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-SLICES = 128
+BRACKET = 0.0005  # half width of a quantile bracket, above the sketch's rank error of 1/10000
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -38,55 +40,78 @@ def scalars(df: DataFrame, **aggregates: Column) -> Column:
     return df.agg(F.struct(*[a.alias(n) for n, a in aggregates.items()])).scalar()
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    slices: int = SLICES) -> DataFrame:
-    """Linear-interpolation quantiles as rows (column, p, value).
+def stats(df: DataFrame, **aggregates: Column) -> dict:
+    """Whole-table aggregates as one row on the driver, for steps that build on each other."""
+    return df.agg(*[a.alias(n) for n, a in aggregates.items()]).first().asDict()
 
-    1. values are counted (equal values, however many, become one row);
-    2. a sketch gives slice edges and slice counts give each slice its first rank;
-    3. only the slices that hold a wanted rank are ordered.
+
+def _slice_of(value: Column, edges: Sequence[float], first: int = 0) -> Column:
+    """Index of the first edge >= value, as a balanced CASE (log2 comparisons per row)."""
+    if not edges:
+        return F.lit(first)
+    mid = len(edges) // 2
+    return F.when(value <= edges[mid], _slice_of(value, edges[:mid], first)).otherwise(
+        _slice_of(value, edges[mid + 1:], first + mid + 1))
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str],
+                    probs: Sequence[float]) -> dict[tuple[str, float], float | None]:
+    """Linear-interpolation quantiles of whole columns, keyed (column, p).
+
+    1. a sketch brackets every wanted rank closely (0.1 % of the rows);
+    2. exact counts per slice tell which slices hold the wanted ranks;
+    3. only those slices are counted per value (equal values, however many, become
+       one row) and ordered.
+    A few rows per column and point reach the driver. The sketch only sets the
+    slice borders; a poor one makes slices larger, never the result wrong.
     """
-    edges = scalars(df, **{c: F.percentile_approx(F.col(c).cast("double"),
-                                                  [i / slices for i in range(1, slices)], 10 * slices)
-                           for c in columns})
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                      for c in columns])
-    counts = (df.select(F.explode(pairs).alias("kv")).select("kv.*")
-              .where(F.col("value").isNotNull() & ~F.isnan("value"))
-              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-    my_edges = F.coalesce(*[F.when(F.col("column") == c, edges[c]) for c in columns])
-    counts = counts.withColumn("slice", F.size(F.filter(my_edges, lambda e: e < F.col("value"))))
-
-    # at most ``slices`` rows per column from here on
-    in_order = W.partitionBy("column").orderBy("slice")
-    marks = (counts.groupBy("column", "slice").agg(F.sum("n").alias("in_slice"))
-             .withColumn("upto", F.sum("in_slice").over(in_order))
-             .withColumn("total", F.sum("in_slice").over(W.partitionBy("column")))
-             .withColumn("before", F.col("upto") - F.col("in_slice")))
-    rank = F.col("p") * (F.col("total") - 1)
-    wanted = (marks.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-              .withColumn("rank", rank)
-              .withColumn("k", F.explode(F.array_distinct(F.array(F.floor("rank"), F.ceil("rank")))))
-              .where((F.col("k") >= F.col("before")) & (F.col("k") < F.col("upto")))
-              .select("column", "slice", "p", "rank", (F.col("k") - F.col("before")).alias("k_in"), "k"))
-    # wanted has at most 2 * len(probs) * len(columns) rows, so it is safe to broadcast
-    wanted = F.broadcast(wanted)
-    inside = W.partitionBy("column", "slice").orderBy("value")
-    hits = (counts.join(wanted.select("column", "slice").distinct(), ["column", "slice"], "left_semi")
-            .withColumn("to", F.sum("n").over(inside))
-            .join(wanted, ["column", "slice"])
-            .where((F.col("k_in") >= F.col("to") - F.col("n")) & (F.col("k_in") < F.col("to"))))
-    frac = F.max(F.col("rank") - F.floor("rank"))
-    low = F.min("value")
-    return hits.groupBy("column", "p").agg((low + (F.max("value") - low) * frac).alias("value"))
-
-
-def quantile_struct(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> Column:
-    """exact_quantiles as one scalar struct with fields ``{column}_{index of p}``."""
-    q = exact_quantiles(df, columns, probs)
-    picks = {f"{c}_{i}": F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("value")))
-             for c in columns for i, p in enumerate(probs)}
-    return scalars(q, **picks)
+    points = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-BRACKET, BRACKET)})
+    sketch = stats(df, **{c: F.percentile_approx(F.col(c).cast("double"), points, 10000) for c in columns})
+    edges = {c: sorted(set(sketch[c] or [])) for c in columns}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"),
+                               _slice_of(F.col(c).cast("double"), edges[c]).alias("slice")) for c in columns])
+    long = (df.select(F.explode(pairs).alias("kv")).select("kv.*")
+            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    counts: dict[str, list] = {c: [] for c in columns}
+    for r in long.groupBy("column", "slice").agg(F.count(F.lit(1)).alias("n")).orderBy("column", "slice").collect():
+        counts[r["column"]].append((r["slice"], r["n"]))
+
+    wanted = []  # (column, slice, rank inside the slice)
+    ranks = {}
+    for c in columns:
+        total = sum(n for _, n in counts[c])
+        for p in probs:
+            if total:
+                rank = p * (total - 1)
+                ranks[c, p] = (math.floor(rank), math.ceil(rank), rank - math.floor(rank))
+        before = 0
+        for number, n in counts[c]:
+            for k in {k for (cc, _), v in ranks.items() if cc == c for k in v[:2]}:
+                if before <= k < before + n:
+                    wanted.append((c, number, k - before, k))
+            before += n
+    found = {}
+    if wanted:
+        target = df.sparkSession.createDataFrame(wanted, "column string, slice int, k_in long, k long")
+        inside = W.partitionBy("column", "slice").orderBy("value")
+        held = reduce(lambda a, b: a | b, [(F.col("column") == c) & (F.col("slice") == i)
+                                           for c, i in {(w[0], w[1]) for w in wanted}])
+        per_value = (long.where(held).groupBy("column", "slice", "value").agg(F.count(F.lit(1)).alias("n"))
+                     .withColumn("to", F.sum("n").over(inside)))
+        # target has at most two rows per column and point
+        hits = per_value.join(F.broadcast(target), ["column", "slice"]).where(
+            (F.col("k_in") >= F.col("to") - F.col("n")) & (F.col("k_in") < F.col("to")))
+        found = {(r["column"], r["k"]): r["value"] for r in hits.select("column", "k", "value").collect()}
+    out: dict[tuple[str, float], float | None] = {}
+    for c in columns:
+        for p in probs:
+            if (c, p) in ranks:
+                low, high, frac = ranks[c, p]
+                a, b = found[c, low], found[c, high]
+                out[c, p] = a + (b - a) * frac
+            else:
+                out[c, p] = None
+    return out
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], **values: Column) -> DataFrame:

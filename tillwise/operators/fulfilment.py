@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tillwise.functions.exprs import percent, round_to, safe_divide, year_month
 from tillwise.functions.scale import one_row, scalars
 
-ALL = W.partitionBy()  # used only over group results, a few rows
+
+def _all() -> W:
+    """The whole frame; used only over group results, a few rows."""
+    return W.partitionBy()
 
 
 def approved(refunds: DataFrame) -> DataFrame:
@@ -50,7 +53,7 @@ def monthly_refunds(refunds: DataFrame, orders: DataFrame, last: int = 12) -> Da
 
 def refund_reasons(refunds: DataFrame) -> DataFrame:
     return (approved(refunds).where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("share", percent("count", F.sum("count").over(ALL), 1)))
+            .withColumn("share", percent("count", F.sum("count").over(_all()), 1)))
 
 
 def refund_totals(refunds: DataFrame) -> DataFrame:
@@ -98,7 +101,7 @@ def review_totals(reviews: DataFrame) -> DataFrame:
 
 def sentiment_share(reviews: DataFrame) -> DataFrame:
     return (reviews.where(F.col("sentiment").isNotNull()).groupBy("sentiment").agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("share", percent("count", F.sum("count").over(ALL), 1)))
+            .withColumn("share", percent("count", F.sum("count").over(_all()), 1)))
 
 
 def top_tags(reviews: DataFrame, top_n: int = 15) -> DataFrame:

@@ -16,7 +16,7 @@ def _(s, spark):
 
 @check("j02_elbow")
 def _(s, spark):
-    f = c.vectors(wide(s), c.USER_FEATURES).select("user_id", "features").persist()
+    f = c.vectors(wide(s), c.USER_FEATURES, ("user_id",)).select("user_id", "features").persist()
     try:
         return c.elbow(f)
     finally:
@@ -25,7 +25,7 @@ def _(s, spark):
 
 @check("j03_silhouettes")
 def _(s, spark):
-    f = c.vectors(wide(s), c.COMPARED_FEATURES).select("user_id", "features").persist()
+    f = c.vectors(wide(s), c.COMPARED_FEATURES, ("user_id",)).select("user_id", "features").persist()
     try:
         return c.silhouettes(f, (3, 5))
     finally:
@@ -49,13 +49,13 @@ def _(s, spark):
 
 @check("j06_hierarchical")
 def _(s, spark):
-    return c.hierarchical(c.vectors(wide(s), c.COMPARED_FEATURES)).groupBy("cluster").count()
+    return c.hierarchical(c.vectors(wide(s), c.COMPARED_FEATURES, ("user_id",))).groupBy("cluster").count()
 
 
 @check("j07_density_clusters")
 def _(s, spark):
     from pyspark.ml.functions import vector_to_array
-    f = c.vectors(wide(s), c.COMPARED_FEATURES).select("user_id", vector_to_array("features").alias("x"))
+    f = c.vectors(wide(s), c.COMPARED_FEATURES, ("user_id",)).select("user_id", vector_to_array("features").alias("x"))
     return c.density(f, "user_id", min_points=5).groupBy("cluster").count()
 
 

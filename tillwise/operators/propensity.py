@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tillwise.functions.exprs import is_paid, percent, round_to, safe_divide
-from tillwise.functions.scale import exact_quantiles, running_totals, stats
+from tillwise.functions.scale import durable, exact_quantiles, running_totals, stats
 from tillwise.operators.cleaning import numeric_columns
 from tillwise.operators.features import user_wide
 
@@ -130,14 +130,11 @@ def train(wide: DataFrame, labelled: DataFrame, columns: Sequence[str] | None =
           trees: int = 100, rounds: int = 100, share: float = 0.7, names: Sequence[str] | None = None) -> dict[str, PipelineModel]:
     """Fit the models on the training part of the sample; scaling is fitted there too."""
     columns = list(columns or feature_columns(wide))
-    table = _fill(wide, columns).join(labelled, "user_id")
-    fit_on = split(table, share)[0].persist()
-    try:
-        models = classifiers(fit_on.count(), trees, rounds)
-        return {n: Pipeline(stages=[*feature_stages(columns, categorical), m]).fit(fit_on)
-                for n, m in models.items() if names is None or n in names}
-    finally:
-        fit_on.unpersist()
+    table = _fill(wide, columns).join(labelled, "user_id").select("user_id", "label", *columns, *categorical)
+    fit_on = durable(split(table, share)[0])  # fitting passes over the rows many times
+    models = classifiers(fit_on.count(), trees, rounds)
+    return {n: Pipeline(stages=[*feature_stages(columns, categorical), m]).fit(fit_on)
+            for n, m in models.items() if names is None or n in names}
 
 
 def score(model: PipelineModel, wide: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[str] = ("user_id",)) -> DataFrame:
@@ -159,7 +156,7 @@ def forest_importances(wide: DataFrame, target: str, columns: Sequence[str] | No
                        depth: int = 10, top_n: int = 15) -> DataFrame:
     """Random-forest importances of the features for a 0/1 column of the wide table."""
     columns = [c for c in (columns or feature_columns(wide)) if c not in (target, "birth_year")]
-    ready = _fill(wide, columns).withColumn("label", F.coalesce(F.col(target), F.lit(0)).cast("int"))
+    ready = durable(_fill(wide, columns).select(*columns, F.coalesce(F.col(target), F.lit(0)).cast("int").alias("label")))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=42)
     return importances(Pipeline(stages=[*feature_stages(columns), forest]).fit(ready), columns, top_n)
 
@@ -276,6 +273,7 @@ def run(wide: DataFrame, labelled: DataFrame, trees: int = 100, rounds: int = 10
         columns: Sequence[str] | None = None) -> dict:
     """Train all models, evaluate them on the held-out part and keep the best."""
     columns = list(columns or feature_columns(wide))
+    wide = durable(wide.select("user_id", *columns))
     models = train(wide, labelled, columns, trees=trees, rounds=rounds)
     held = split(_fill(wide, columns).join(labelled, "user_id"))[1]
     scored = {n: score(m, held, columns, ("user_id", "label")) for n, m in models.items()}

@@ -1,3 +1,5 @@
+import uuid
+
 from checks import check
 from tillwise.functions.exprs import round_to
 from pyspark.sql import functions as F
@@ -233,3 +235,72 @@ def _(s, spark):
 @check("a34_schema_with_tags")
 def _(s, spark):
     return tables.table_schema(s.fact_order, "fact_order", ["order_id"])
+
+
+# ---- round trips through files in the shared folder -----------------------------------
+def fresh(spark):
+    from tillwise.functions.scale import shared_folder
+    return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+
+
+@check("a10_csv_scan", "SELECT order_id, order_date, status, paid_amount FROM fact_order")
+def _(s, spark):
+    path = sinks.export_table(s.fact_order.select("order_id", "order_date", "status", "paid_amount"), f"{fresh(spark)}/orders.csv")
+    df = tables.read_csv(spark, path)
+    return df.select(F.col("order_id").cast("long").alias("order_id"), F.to_date("order_date").alias("order_date"), "status",
+                     F.col("paid_amount").cast("double").alias("paid_amount"))
+
+
+@check("a11_csv_folder", "SELECT 'orders' AS table_name, count(*) AS n FROM fact_order UNION ALL SELECT 'refunds', count(*) FROM fact_refund")
+def _(s, spark):
+    folder = fresh(spark)
+    sinks.export_table(s.fact_order, f"{folder}/orders.csv")
+    sinks.export_table(s.fact_refund, f"{folder}/refunds.csv")
+    frames = tables.read_csv_folder(spark, folder)
+    out = None
+    for name, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@check("a19_json_export", "SELECT sku_id, sku_name, price FROM s_sku")
+def _(s, spark):
+    path = sinks.export_table(s.sku.select("sku_id", "sku_name", "price"), f"{fresh(spark)}/sku", "json")
+    return spark.read.schema("sku_id long, sku_name string, price double").json(path)
+
+
+@check("a20_csv_export", "SELECT sku_id, product_name || ', \"' || sku_name || '\"' AS label FROM dim_product")
+def _(s, spark):
+    label = F.concat("product_name", F.lit(', "'), "sku_name", F.lit('"'))
+    path = sinks.export_table(s.dim_product.select("sku_id", label.alias("label")), f"{fresh(spark)}/label.csv")
+    return tables.read_csv(spark, path).select(F.col("sku_id").cast("long").alias("sku_id"), "label")
+
+
+@check("a21_wide_table_sink", "SELECT user_id, rfm_segment, frequency FROM user_wide")
+def _(s, spark):
+    from checks.features import wide
+    return spark.read.parquet(sinks.write_wide(wide(s).select("user_id", "rfm_segment", "frequency"), f"{fresh(spark)}/wide"))
+
+
+@check("a28_action_log", "SELECT channel AS action_type, status AS detail, count(*) AS n FROM s_orders GROUP BY 1, 2")
+def _(s, spark):
+    path = f"{fresh(spark)}/log"
+    sinks.append_actions(s.orders.select(F.col("channel").alias("action_type"), F.col("order_id").alias("entity_id"), F.col("status").alias("detail")), path)
+    return spark.read.parquet(path).groupBy("action_type", "detail").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check("a29_tag_users", "SELECT 'tag_user' AS action_type, 'wake up' AS detail, CAST(user_id AS VARCHAR) AS entity_id FROM user_wide WHERE rfm_segment = '沉睡客户'")
+def _(s, spark):
+    from checks.features import wide
+    path = f"{fresh(spark)}/log"
+    sinks.tag_users(wide(s).where(F.col("rfm_segment") == "沉睡客户"), "wake up", path)
+    return spark.read.parquet(path).select("action_type", "detail", "entity_id")
+
+
+@check("a30_create_action", "SELECT 'restock' AS action_type, '[P0] ' || count(*) || ' SKUs low' AS detail FROM s_sku WHERE stock < 5")
+def _(s, spark):
+    path = f"{fresh(spark)}/log"
+    low = s.sku.where(F.col("stock") < 5).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    sinks.create_action(spark, path, "restock", "all", f"{low} SKUs low", "P0")
+    return spark.read.parquet(path).select("action_type", "detail")

@@ -17,16 +17,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 BRACKET = 0.0005  # half width of a quantile bracket, above the sketch's rank error of 1/10000
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared checkpoint folder, so executor loss costs no recompute."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a temporary one only in local runs that name none."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tillwise-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage in the shared checkpoint folder, so executor loss costs no recompute."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

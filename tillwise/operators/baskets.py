@@ -154,3 +154,24 @@ def run(lines: DataFrame, products: DataFrame, sku_support=0.0005, category_supp
     return {"sku_itemsets": sku_sets, "sku_rules": sku_rules, "category_itemsets": cat_sets, "category_rules": cat_rules,
             "bundles": bundles(sku_rules, 10), "cross_sell": cross_sell(cat_rules, 10), "add_ons": add_ons(sku_rules, 10),
             "unsuitable": unsuitable(sku_rules)}
+
+
+def prune_redundant(rules: DataFrame) -> DataFrame:
+    """Drop a rule when fewer items on its left side give the same right side at least as surely."""
+    simple = rules.select(F.col("antecedents").alias("_a"), F.col("consequents").alias("_c"), F.col("confidence").alias("_f"))
+    worse = ((F.col("consequents") == F.col("_c")) & (F.size("_a") < F.size("antecedents"))
+             & (F.size(F.array_except("_a", "antecedents")) == 0) & (F.col("_f") >= F.col("confidence")))
+    return rules.join(simple, worse, "left_anti")
+
+
+def bundle_revenue(rules: DataFrame, baskets: DataFrame, products: DataFrame, discount: float = 0.1) -> DataFrame:
+    """Revenue and margin of selling each rule's items together at a discount, at the rule's basket count."""
+    n = baskets.agg(F.count(F.lit(1)).alias("n")).scalar()
+    price = products.select(F.col("sku_id").cast("string").alias("item"), "price", "cost")
+    lines = (rules.select("antecedents", "consequents", "support", F.explode(F.concat("antecedents", "consequents")).alias("item"))
+             .join(price, "item"))
+    g = lines.groupBy("antecedents", "consequents", "support").agg(F.sum("price").alias("p"), F.sum("cost").alias("c"))
+    orders = F.col("support") * n
+    return g.select("antecedents", "consequents", round_to("p").alias("bundle_price"), round_to(orders, 1).alias("expected_orders"),
+                    round_to(orders * F.col("p") * (1 - discount)).alias("expected_revenue"),
+                    round_to(orders * (F.col("p") * (1 - discount) - F.col("c"))).alias("expected_margin"))

@@ -134,3 +134,27 @@ def risk_list(refunds, lines, products, shipments, least: int = 5, late_share: f
                      F.format_string("延迟率 %.1f%%（%d/%d）", share * 100, "late", "total").alias("evidence"),
                      F.lit(AREA_ADVICE).alias("action"), F.when(share > 0.15, "high").otherwise("medium").alias("severity")))
     return skus.unionByName(areas)
+
+
+def category_delays(shipments: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Late rate per category of the shipped lines; an order counts once per category."""
+    pairs = (lines.select("order_id", "sku_id").join(products.select("sku_id", "category_name"), "sku_id")
+             .select("order_id", "category_name").distinct())
+    return (pairs.join(shipments.select("order_id", "is_late"), "order_id").groupBy("category_name")
+            .agg(F.count(F.lit(1)).alias("shipments"), F.sum("is_late").alias("late_count"))
+            .withColumn("late_rate", percent("late_count", "shipments")))
+
+
+def worst_reviewed(reviews: DataFrame, products: DataFrame, group: str = "sku_id", least: int = 1, top_n: int = 20) -> DataFrame:
+    """Bad-review rate (rating <= 2) per SKU or supplier, worst first."""
+    per_sku = reviews.groupBy("sku_id").agg(F.count(F.lit(1)).alias("r"), F.count_if(F.col("rating") <= 2).alias("b"))
+    g = (per_sku.join(products.select(*dict.fromkeys(["sku_id", group])), "sku_id").groupBy(group)
+         .agg(F.sum("r").alias("reviews"), F.sum("b").alias("bad")).where(F.col("reviews") >= least)
+         .withColumn("bad_rate", percent("bad", "reviews")))
+    return g.orderBy(F.desc("bad_rate"), F.desc("reviews"), group).limit(top_n)
+
+
+def refunded_overstock(refunds, lines, stock: DataFrame, least_refunds: int = 5, least_stock: int = 100) -> DataFrame:
+    """SKUs often refunded and still well stocked."""
+    return (refunded_lines_per_sku(refunds, lines).where(F.col("refund_count") >= least_refunds)
+            .join(stock.select("sku_id", "current_stock"), "sku_id").where(F.col("current_stock") >= least_stock))

@@ -128,3 +128,46 @@ def remarketing_list(traffic, orders, days=90, own_cutoff=False) -> DataFrame:
         one = fn(traffic, orders, days, own_cutoff).withColumn("reason", F.lit(reason))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# ---- session views --------------------------------------------------------------------
+def by_category(traffic: DataFrame, products: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame:
+    """Funnel per category of the viewed SKU. Events shrink to (SKU, session, stage) before the join."""
+    seen = (traffic.where(F.col("sku_id").isNotNull() & F.col("event_type").isin(*stages))
+            .select("sku_id", "session_id", "event_type").distinct())
+    named = seen.join(products.select("sku_id", "category_name"), "sku_id")
+    return stage_sessions(named, ["category_name"], stages).withColumn("conversion", percent(stages[-1], stages[0]))
+
+
+def sequential(traffic: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame:
+    """Sessions that reach each stage in order: the first times of the stages up to it never go back."""
+    first = (traffic.where(F.col("session_id").isNotNull() & F.col("event_type").isin(*stages)).groupBy("session_id")
+             .agg(*[F.min(F.when(F.col("event_type") == s, F.col("created_at"))).alias(s) for s in stages]))
+    reached, ok = [], None
+    for before, s in zip((None, *stages), stages):
+        step = F.col(s).isNotNull() if before is None else F.coalesce(F.col(s) >= F.col(before), F.lit(False))
+        ok = step if ok is None else ok & step
+        reached.append(ok)
+    counts = first.agg(*[F.count_if(r).alias(s) for r, s in zip(reached, stages)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(i + 1).alias("step"), F.lit(s).alias("stage"), F.col(s).alias("sessions"))
+                                            for i, s in enumerate(stages)])))
+
+
+def abandoned_checkouts(traffic: DataFrame) -> DataFrame:
+    """Sessions with a checkout and no payment, with last visit and cart adds."""
+    has = lambda e: F.count_if(F.col("event_type") == e)
+    g = traffic.where(F.col("session_id").isNotNull()).groupBy("session_id").agg(
+        F.max("user_id").alias("user_id"), F.max("created_at").alias("last_seen"), has("add_to_cart").alias("cart_adds"),
+        has("checkout").alias("checkouts"), has("pay_success").alias("payments"))
+    return g.where((F.col("checkouts") > 0) & (F.col("payments") == 0)).drop("payments")
+
+
+def unconverted_sessions(traffic: DataFrame, products: DataFrame) -> DataFrame:
+    """Sessions without payment: last visit, value of SKUs put in the cart, categories seen."""
+    paid = traffic.where(F.col("event_type") == "pay_success").select("session_id").distinct()
+    per_sku = (traffic.where(F.col("session_id").isNotNull()).join(paid, "session_id", "left_anti").groupBy("session_id", "sku_id")
+               .agg(F.max("created_at").alias("last_seen"), F.count_if(F.col("event_type") == "add_to_cart").alias("adds")))
+    m = per_sku.join(products.select("sku_id", "price", "category_name"), "sku_id", "left")
+    by_category_ = m.groupBy("session_id", "category_name").agg(F.max("last_seen").alias("l"), F.sum(F.col("adds") * F.col("price")).alias("v"))
+    return by_category_.groupBy("session_id").agg(F.max("l").alias("last_seen"), round_to(F.coalesce(F.sum("v"), F.lit(0.0))).alias("cart_value"),
+                                                  F.count("category_name").alias("categories"))

@@ -120,3 +120,17 @@ def budget_move(ranking: DataFrame, migrate_pct: float = 20.0) -> DataFrame:
     return r.select(round_to("total").alias("total_spend"), F.lit(float(migrate_pct)).alias("migrate_pct"),
                     round_to(moved).alias("migrated_amount"),
                     round_to(moved * (F.col("best") - F.col("worst"))).alias("estimated_gain"))
+
+
+def before_and_during(campaigns: DataFrame, orders: DataFrame) -> DataFrame:
+    """Campaigns without control group: mean daily gmv in their dates against as many days before."""
+    per_day = orders.where(is_paid()).groupBy("order_date").agg(F.sum("paid_amount").alias("g"))
+    c = campaigns.where(F.col("has_control_group") == 0).withColumn("n", F.datediff("end_date", "start_date") + 1)
+    days = c.select("campaign_id", "start_date", "n", F.explode(
+        F.sequence(F.expr("date_sub(start_date, n)"), "end_date")).alias("order_date"))
+    during = F.col("order_date") >= F.col("start_date")
+    g = (days.join(per_day, "order_date", "left").groupBy("campaign_id")
+         .agg(F.coalesce(F.sum(F.when(~during, F.col("g"))), F.lit(0.0)).alias("b"),
+              F.coalesce(F.sum(F.when(during, F.col("g"))), F.lit(0.0)).alias("d"), F.max("n").alias("n")))
+    return g.select("campaign_id", round_to(F.col("b") / F.col("n")).alias("daily_before"), round_to(F.col("d") / F.col("n")).alias("daily_during"),
+                    percent(F.col("d") - F.col("b"), "b").alias("change_pct"))

@@ -111,3 +111,47 @@ def weekly_report(health: DataFrame, metrics: DataFrame, chances: DataFrame, dan
         out = out.unionByName(df.select(F.lit(section).alias("section"), "rank", F.col("kind").alias("item"), "value",
                                         F.concat_ws(" / ", "subject", F.format_string("%.2f", "benchmark")).alias("note")))
     return out
+
+
+def action_effect(actions: DataFrame, orders: DataFrame, days: int = 7) -> DataFrame:
+    """Mean daily gmv before and after each action day, per action type.
+
+    Actions shrink to distinct (type, day); their days become rows that join the
+    daily totals on equality.
+    """
+    per_day = orders.where(is_paid()).groupBy("order_date").agg(F.sum("paid_amount").alias("g"))
+    a = actions.groupBy("action_type", F.to_date("created_at").alias("action_day")).agg(F.count(F.lit(1)).alias("actions"))
+    span = a.withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(-days, days + 1) if k])))
+    m = span.withColumn("order_date", F.date_add("action_day", F.col("k"))).join(per_day, "order_date", "left")
+    part = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("g"))), F.lit(0.0)) / days
+    g = m.groupBy("action_type", "action_day", "actions").agg(part(F.col("k") < 0).alias("b"), part(F.col("k") > 0).alias("a"))
+    return g.select("action_type", "action_day", "actions", round_to("b").alias("before"), round_to("a").alias("after"),
+                    percent(F.col("a") - F.col("b"), "b").alias("change_pct"))
+
+
+def daily_insights(orders: DataFrame, refunds: DataFrame, traffic: DataFrame, performance: DataFrame, move: float = 0.10,
+                   spike: float = 2.0, drop: float = 0.20) -> DataFrame:
+    """Rows (day, kind, subject, value): gmv moves, refund spikes, channel conversion drops, low stock.
+
+    Every window runs over day totals, at most one row per day and channel.
+    """
+    gmv = orders.where(is_paid()).groupBy(F.col("order_date").alias("day")).agg(F.sum("paid_amount").alias("v"))
+    by_day = W.orderBy("day")
+    change = safe_divide(F.col("v") - F.lag("v").over(by_day), F.lag("v").over(by_day))
+    out = gmv.withColumn("c", change).where(F.abs("c") > move).select(
+        "day", F.lit("gmv_move").alias("kind"), F.lit("all").alias("subject"), round_to(F.col("c") * 100).alias("value"))
+    r = approved(refunds).groupBy(F.col("refund_date").alias("day")).agg(F.count(F.lit(1)).alias("v"))
+    usual = F.avg("v").over(by_day.rowsBetween(-7, -1))
+    out = out.unionByName(r.withColumn("u", usual).where(F.col("v") > F.col("u") * spike).select(
+        "day", F.lit("refund_spike").alias("kind"), F.lit("all").alias("subject"), round_to(F.col("v") / F.col("u")).alias("value")))
+    t = funnel.stage_sessions(traffic.withColumnRenamed("event_date", "day"), ["channel", "day"])
+    rate = safe_divide(funnel.STAGES[-1], funnel.STAGES[0])
+    by_channel = W.partitionBy("channel").orderBy("day")
+    t = t.withColumn("c", rate).withColumn("p", F.lag("c").over(by_channel))
+    fall = safe_divide(F.col("c") - F.col("p"), "p")
+    out = out.unionByName(t.where(fall < -drop).select("day", F.lit("conversion_drop").alias("kind"), F.col("channel").alias("subject"),
+                                                       round_to(fall * 100).alias("value")))
+    last = scalars(orders, d=F.max("order_date"))["d"]
+    low = performance.where(F.col("current_stock") < F.col("total_qty") / 365 * 3)
+    return out.unionByName(low.select(last.alias("day"), F.lit("low_stock").alias("kind"), F.col("sku_id").cast("string").alias("subject"),
+                                      F.col("current_stock").cast("double").alias("value")))

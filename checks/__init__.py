@@ -24,7 +24,7 @@ def check(name: str, sql: str | None = None):
         assert name not in RUN, name
         RUN[name] = fn
         if sql is not None:
-            SQL[name] = ctes.expand(sql)
+            SQL[name] = sql
         return fn
     return wrap
 
@@ -45,4 +45,4 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def sql_queries() -> dict[str, str]:
     load()
-    return dict(SQL)
+    return {n: ctes.expand(q) for n, q in SQL.items()}  # after every area has added its CTEs

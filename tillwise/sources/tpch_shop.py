@@ -23,6 +23,19 @@ EVENT_TYPE = {"view": "view_home", "click": "view_product", "signup": "add_to_ca
 TRAFFIC_CHANNELS = ("organic", "search", "social", "email", "affiliate", "live")
 DEVICES = ("mobile", "desktop", "tablet")
 PRICE_EDGES = (930.0, 970.0)
+# fixed values: column types of the given files, stated so that opening a table needs no scan
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+}
 
 
 def _recode(column: str, codes: dict[str, str]):
@@ -38,7 +51,10 @@ class TpchShop:
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read
+        if name in SCHEMAS:
+            reader = reader.schema(SCHEMAS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def __call__(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -6,13 +6,13 @@ table is aggregated once per group of checks; a check never collects rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.exprs import round_to, safe_divide, stock
-from tillwise.functions.scale import one_row, scalars
 
 # fixed values: report categories
 COMPLETE, UNIQUE, ACCURATE, TIMELY, CONSISTENT, LOGIC, SPREAD = (
@@ -48,6 +48,26 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+class Pass(NamedTuple):
+    """Plain aggregates over one table and the checks made of them."""
+
+    table: DataFrame
+    aggregates: dict[str, Column]
+    checks: Callable[[Callable[[str], Column]], list[Column]]
+
+
+def run(passes: Sequence[Pass]) -> DataFrame:
+    """Rows of all passes; passes over the same table share one scan and one aggregate."""
+    by_table: dict[int, list[tuple[int, Pass]]] = {}
+    for i, p in enumerate(passes):
+        by_table.setdefault(id(p.table), []).append((i, p))
+    parts = []
+    for group in by_table.values():
+        agg = group[0][1].table.agg(*[a.alias(f"a{i}_{k}") for i, p in group for k, a in p.aggregates.items()])
+        parts.append(_rows(agg, *[c for i, p in group for c in p.checks(lambda k, i=i: F.col(f"a{i}_{k}"))]))
+    return _union(parts)
+
+
 def _pass(ok: Column, other: str = "fail") -> Column:
     return F.when(ok, "pass").otherwise(other)
 
@@ -57,56 +77,67 @@ def _count_if(cond: Column) -> Column:
 
 
 # ---- completeness ------------------------------------------------------------
+def row_count_passes(tables: Mapping[str, DataFrame], bounds: Mapping[str, tuple[int, int]] = ROW_BOUNDS) -> list[Pass]:
+    return [Pass(tables[t], {"n": F.count(F.lit(1))}, lambda c, t=t, lo=lo, hi=hi: [
+        _check(COMPLETE, f"{t} 行数", _pass(c("n").between(lo, hi), "warn"), actual=c("n"), min=lo, max=hi)])
+        for t, (lo, hi) in bounds.items()]
+
+
 def row_counts(tables: Mapping[str, DataFrame], bounds: Mapping[str, tuple[int, int]] = ROW_BOUNDS) -> DataFrame:
     """Row count within [lo, hi] per table, else warn."""
-    parts = []
-    for name, (lo, hi) in bounds.items():
-        n = tables[name].agg(F.count(F.lit(1)).alias("n"))
-        parts.append(_rows(n, _check(COMPLETE, f"{name} 行数", _pass(F.col("n").between(lo, hi), "warn"),
-                                     actual=F.col("n"), min=lo, max=hi)))
-    return _union(parts)
+    return run(row_count_passes(tables, bounds))
 
 
 def quick_report(tables: Mapping[str, DataFrame], expected: Mapping[str, int], tolerance: float = 0.3) -> DataFrame:
     """Row counts within a tolerance of the expected, and no negative paid amount."""
-    counts = row_counts(tables, {t: (round(n * (1 - tolerance)), round(n * (1 + tolerance))) for t, n in expected.items()})
-    neg = tables["orders"].agg(_count_if(F.col("paid_amount") < 0).alias("n"))
-    return counts.unionByName(_rows(neg, _check(ACCURATE, "paid_amount 负数", _pass(F.col("n") == 0),
-                                                negative_count=F.col("n"))))
+    bounds = {t: (round(n * (1 - tolerance)), round(n * (1 + tolerance))) for t, n in expected.items()}
+    return run([*row_count_passes(tables, bounds), negative_pass(tables["orders"], ("paid_amount",))])
 
 
-def missing_rates(df: DataFrame, table: str, columns: Sequence[str], warn: float, fail: float | None = None) -> DataFrame:
+def missing_pass(df: DataFrame, table: str, columns: Sequence[str], warn: float, fail: float | None = None) -> Pass:
     """NULL share per column: pass below ``warn``, then warn, then fail from ``fail`` up."""
-    agg = df.agg(F.count(F.lit(1)).alias("total"), *[_count_if(F.col(c).isNull()).alias(c) for c in columns])
-    checks = []
-    for c in columns:
-        rate = safe_divide(c, "total")
-        status = F.when(rate < warn, "pass")
-        status = status.when(rate < fail, "warn").otherwise("fail") if fail else status.otherwise("warn")
-        checks.append(_check(COMPLETE, f"{table}.{c} 缺失率", status, missing=F.col(c), total=F.col("total"),
-                             rate=_rate(c, "total")))
-    return _rows(agg, *checks)
+    def checks(c):
+        out = []
+        for name in columns:
+            rate = safe_divide(c(name), c("total"))
+            status = F.when(rate < warn, "pass")
+            status = status.when(rate < fail, "warn").otherwise("fail") if fail else status.otherwise("warn")
+            out.append(_check(COMPLETE, f"{table}.{name} 缺失率", status, missing=c(name), total=c("total"), rate=_rate(c(name), c("total"))))
+        return out
 
+    return Pass(df, {"total": F.count(F.lit(1)), **{name: _count_if(F.col(name).isNull()) for name in columns}}, checks)
 
-def user_missing(users: DataFrame, columns=("phone", "gender", "birth_year", "province")) -> DataFrame:
-    return missing_rates(users, "users", columns, 0.1, 0.3)
 
+USER_COLUMNS = ("phone", "gender", "birth_year", "province")
+AMOUNT_COLUMNS = ("paid_amount", "subtotal", "total_amount", "discount_amount")
 
-def amount_missing(orders: DataFrame,
-                   columns=("paid_amount", "subtotal", "total_amount", "discount_amount")) -> DataFrame:
-    return missing_rates(orders, "orders", columns, 0.01)
 
+def user_missing(users: DataFrame) -> DataFrame:
+    return run([missing_pass(users, "users", USER_COLUMNS, 0.1, 0.3)])
 
-def anonymous_share(events: DataFrame) -> DataFrame:
+
+def amount_missing(orders: DataFrame) -> DataFrame:
+    return run([missing_pass(orders, "orders", AMOUNT_COLUMNS, 0.01)])
+
+
+def anonymous_pass(events: DataFrame) -> Pass:
     blank = F.col("user_id").isNull() | (F.col("user_id").cast("string") == "")
-    agg = events.agg(F.count(F.lit(1)).alias("total"), _count_if(blank).alias("n"))
-    return _rows(agg, _check(COMPLETE, "page_events 匿名流量", _pass(safe_divide("n", "total") < 0.5, "warn"),
-                             anonymous=F.col("n"), total=F.col("total"), rate=_rate("n", "total")))
+    return Pass(events, {"total": F.count(F.lit(1)), "n": _count_if(blank)}, lambda c: [
+        _check(COMPLETE, "page_events 匿名流量", _pass(safe_divide(c("n"), c("total")) < 0.5, "warn"), anonymous=c("n"),
+               total=c("total"), rate=_rate(c("n"), c("total")))])
+
+
+def anonymous_share(events: DataFrame) -> DataFrame:
+    return run([anonymous_pass(events)])
+
+
+def completeness_passes(tables: Mapping[str, DataFrame], bounds=ROW_BOUNDS) -> list[Pass]:
+    return [*row_count_passes(tables, bounds), missing_pass(tables["users"], "users", USER_COLUMNS, 0.1, 0.3),
+            missing_pass(tables["orders"], "orders", AMOUNT_COLUMNS, 0.01), anonymous_pass(tables["page_events"])]
 
 
 def completeness(tables: Mapping[str, DataFrame], bounds=ROW_BOUNDS) -> DataFrame:
-    return _union([row_counts(tables, bounds), user_missing(tables["users"]), amount_missing(tables["orders"]),
-                   anonymous_share(tables["page_events"])])
+    return run(completeness_passes(tables, bounds))
 
 
 # ---- uniqueness --------------------------------------------------------------
@@ -132,10 +163,13 @@ def repeated_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> D
 
 
 # ---- accuracy ----------------------------------------------------------------
+def negative_pass(orders: DataFrame, columns: Sequence[str] = ("paid_amount", "subtotal")) -> Pass:
+    return Pass(orders, {name: _count_if(F.col(name) < 0) for name in columns}, lambda c: [
+        _check(ACCURATE, f"{name} 负数", _pass(c(name) == 0), negative_count=c(name)) for name in columns])
+
+
 def negative_amounts(orders: DataFrame) -> DataFrame:
-    cols = ("paid_amount", "subtotal")
-    agg = orders.agg(*[_count_if(F.col(c) < 0).alias(c) for c in cols])
-    return _rows(agg, *[_check(ACCURATE, f"{c} 负数", _pass(F.col(c) == 0), negative_count=F.col(c)) for c in cols])
+    return run([negative_pass(orders)])
 
 
 def header_against_lines(orders: DataFrame, items: DataFrame, tolerance: float = 1.0, share: float = 0.05) -> DataFrame:
@@ -161,9 +195,13 @@ def negative_stock(movements: DataFrame, raw_sign: bool = False) -> DataFrame:
                              total_skus=F.col("n")))
 
 
+def price_pass(sku: DataFrame) -> Pass:
+    return Pass(sku, {"n": F.count(F.lit(1)), "bad": _count_if(F.col("price") < F.col("cost"))}, lambda c: [
+        _check(ACCURATE, "price < cost", _pass(c("bad") == 0), invalid_count=c("bad"), total=c("n"))])
+
+
 def price_below_cost(sku: DataFrame) -> DataFrame:
-    agg = sku.agg(F.count(F.lit(1)).alias("n"), _count_if(F.col("price") < F.col("cost")).alias("bad"))
-    return _rows(agg, _check(ACCURATE, "price < cost", _pass(F.col("bad") == 0), invalid_count=F.col("bad"), total=F.col("n")))
+    return run([price_pass(sku)])
 
 
 def accuracy(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -173,17 +211,25 @@ def accuracy(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 # ---- timeliness, consistency, logic -------------------------------------------
-def timeliness(tables: Mapping[str, DataFrame], as_of=None,
-               columns=(("orders", "created_at"), ("page_events", "created_at"), ("ads_spend", "spend_date"))) -> DataFrame:
+def span_pass(df: DataFrame, name: str, column: str, low: str = "min", high: str = "max") -> Pass:
+    day = F.to_date(column)
+    return Pass(df, {"a": F.min(day), "b": F.max(day)}, lambda c: [
+        _check(TIMELY, f"{name} 时间范围", F.lit("pass"), **{low: c("a"), high: c("b")})])
+
+
+def timeliness_passes(tables: Mapping[str, DataFrame], as_of=None) -> list[Pass]:
+    spans_ = [span_pass(tables[t], t, c) for t, c in (("orders", "created_at"), ("page_events", "created_at"), ("ads_spend", "spend_date"))]
+
+    def age(c):
+        days = F.datediff(F.lit(as_of).cast("date") if as_of else c("d"), c("d"))
+        return [_check(TIMELY, "最新订单距今天数", _pass(days < 365, "warn"), latest_date=c("d"), days_ago=days)]
+
+    return [*spans_, Pass(tables["orders"], {"d": F.max(F.to_date("created_at"))}, age)]
+
+
+def timeliness(tables: Mapping[str, DataFrame], as_of=None) -> DataFrame:
     """Date span per table and days from the last order to ``as_of`` (default: the last order itself)."""
-    parts = []
-    for t, c in columns:
-        agg = tables[t].agg(F.min(F.to_date(c)).alias("a"), F.max(F.to_date(c)).alias("b"))
-        parts.append(_rows(agg, _check(TIMELY, f"{t} 时间范围", F.lit("pass"), min=F.col("a"), max=F.col("b"))))
-    last = tables["orders"].agg(F.max(F.to_date("created_at")).alias("d"))
-    days = F.datediff(F.lit(as_of).cast("date") if as_of else F.col("d"), "d")
-    parts.append(_rows(last, _check(TIMELY, "最新订单距今天数", _pass(days < 365, "warn"), latest_date=F.col("d"), days_ago=days)))
-    return _union(parts)
+    return run(timeliness_passes(tables, as_of))
 
 
 FOREIGN_KEYS = (("orders", "user_id", "users", "user_id"), ("order_items", "sku_id", "sku", "sku_id"),
@@ -221,12 +267,17 @@ def paid_before_created(payments: DataFrame, orders: DataFrame) -> DataFrame:
     return _rows(agg, _check(LOGIC, "paid_at < created_at", _pass(F.col("n") == 0), bad_count=F.col("n")))
 
 
+def funnel_pass(events: DataFrame, stages: Sequence[str] = STAGES) -> Pass:
+    def checks(c):
+        falls = reduce(lambda a, b: a & b, [c(a) >= c(b) for a, b in zip(stages, stages[1:])])
+        return [_check(LOGIC, "流量漏斗事件分布", F.lit("pass"), **{st: c(st) for st in stages}, decreasing=falls.cast("int"))]
+
+    return Pass(events, {st: _count_if(F.col("event_type") == st) for st in stages}, checks)
+
+
 def funnel_events(events: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame:
     """Events per stage, and whether they decrease from stage to stage (reported, never failed)."""
-    agg = events.agg(*[_count_if(F.col("event_type") == s).alias(s) for s in stages])
-    falls = reduce(lambda a, b: a & b, [F.col(a) >= F.col(b) for a, b in zip(stages, stages[1:])])
-    return _rows(agg, _check(LOGIC, "流量漏斗事件分布", F.lit("pass"), **{s: F.col(s) for s in stages},
-                             decreasing=falls.cast("int")))
+    return run([funnel_pass(events, stages)])
 
 
 def business_logic(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -235,7 +286,12 @@ def business_logic(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def full_report(t: Mapping[str, DataFrame], bounds=ROW_BOUNDS, as_of=None) -> DataFrame:
-    return _union([completeness(t, bounds), uniqueness(t), accuracy(t), timeliness(t, as_of), orphans(t), business_logic(t)])
+    """All checks. Those that are plain aggregates share one scan per table."""
+    plain = run([*completeness_passes(t, bounds), negative_pass(t["orders"]), price_pass(t["sku"]), *timeliness_passes(t, as_of),
+                 funnel_pass(t["page_events"])])
+    return _union([plain, uniqueness(t), header_against_lines(t["orders"], t["order_items"]), refunds_over_paid(t["orders"], t["refunds"]),
+                   negative_stock(t["inventory_movements"]), orphans(t), status_distribution(t["orders"]),
+                   paid_before_created(t["payments"], t["orders"])])
 
 
 def status_totals(report: DataFrame) -> DataFrame:
@@ -244,30 +300,36 @@ def status_totals(report: DataFrame) -> DataFrame:
 
 
 # ---- the extraction service's own report ---------------------------------------
+def expected_passes(tables: Mapping[str, DataFrame], expected: Mapping[str, int] = EXPECTED_ROWS) -> list[Pass]:
+    return [Pass(tables[t], {"n": F.count(F.lit(1))}, lambda c, t=t, n=n: [
+        _check(COMPLETE, f"{t} 行数", _pass(c("n") >= n * 0.8, "warn"), actual=c("n"), expected=n)]) for t, n in expected.items()]
+
+
 def expected_rows(tables: Mapping[str, DataFrame], expected: Mapping[str, int] = EXPECTED_ROWS) -> DataFrame:
-    parts = []
-    for t, n in expected.items():
-        agg = tables[t].agg(F.count(F.lit(1)).alias("n"))
-        parts.append(_rows(agg, _check(COMPLETE, f"{t} 行数", _pass(F.col("n") >= n * 0.8, "warn"), actual=F.col("n"), expected=n)))
-    return _union(parts)
+    return run(expected_passes(tables, expected))
+
+
+def blank_pass(users: DataFrame) -> Pass:
+    blank = lambda name: F.col(name).isNull() | (F.col(name) == "")
+    return Pass(users, {name: _count_if(F.col(name).isNull() if name == "birth_year" else blank(name)) for name in USER_COLUMNS}, lambda c: [
+        _check(COMPLETE, "users 关键字段缺失值", F.lit("pass"), **{f"{name}_missing": c(name) for name in USER_COLUMNS})])
 
 
 def user_blanks(users: DataFrame) -> DataFrame:
     """Missing user values; empty text counts as missing except for the birth year."""
-    blank = lambda c: F.col(c).isNull() | (F.col(c) == "")
-    agg = users.agg(_count_if(blank("phone")).alias("phone"), _count_if(blank("gender")).alias("gender"),
-                    _count_if(F.col("birth_year").isNull()).alias("birth_year"), _count_if(blank("province")).alias("province"))
-    return _rows(agg, _check(COMPLETE, "users 关键字段缺失值", F.lit("pass"),
-                             **{f"{c}_missing": F.col(c) for c in ("phone", "gender", "birth_year", "province")}))
+    return run([blank_pass(users)])
+
+
+def amount_pass(orders: DataFrame) -> Pass:
+    v = F.col
+    return Pass(orders, {"p": _count_if(v("paid_amount") < 0), "s": _count_if(v("subtotal") < 0), "t": _count_if(v("total_amount") < 0),
+                         "o": _count_if(v("paid_amount") > v("total_amount") * 1.5)}, lambda c: [
+        _check(ACCURATE, "orders 金额异常", _pass(c("p") + c("s") + c("t") == 0), negative_paid=c("p"), negative_subtotal=c("s"),
+               negative_total=c("t"), paid_over_total=c("o"))])
 
 
 def amount_anomalies(orders: DataFrame) -> DataFrame:
-    c = F.col
-    agg = orders.agg(_count_if(c("paid_amount") < 0).alias("p"), _count_if(c("subtotal") < 0).alias("s"),
-                     _count_if(c("total_amount") < 0).alias("t"),
-                     _count_if(c("paid_amount") > c("total_amount") * 1.5).alias("o"))
-    return _rows(agg, _check(ACCURATE, "orders 金额异常", _pass(c("p") + c("s") + c("t") == 0), negative_paid=c("p"),
-                             negative_subtotal=c("s"), negative_total=c("t"), paid_over_total=c("o")))
+    return run([amount_pass(orders)])
 
 
 def paid_against_lines(orders: DataFrame, items: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -284,38 +346,44 @@ def refund_anomalies(refunds: DataFrame, orders: DataFrame) -> DataFrame:
                              negative_amount=F.col("n"), overpaid_refund=F.col("o")))
 
 
+def stock_pass(sku: DataFrame) -> Pass:
+    return Pass(sku, {"n": _count_if(F.col("stock") < 0)}, lambda c: [
+        _check(ACCURATE, "sku 负库存检查", _pass(c("n") == 0), negativeStockCount=c("n"))])
+
+
 def negative_stock_column(sku: DataFrame) -> DataFrame:
-    agg = sku.agg(_count_if(F.col("stock") < 0).alias("n"))
-    return _rows(agg, _check(ACCURATE, "sku 负库存检查", _pass(F.col("n") == 0), negativeStockCount=F.col("n")))
+    return run([stock_pass(sku)])
+
+
+def ratio_pass(events: DataFrame) -> Pass:
+    return Pass(events, {"t": F.count(F.lit(1)), "n": _count_if(F.col("user_id").isNull())}, lambda c: [
+        _check(COMPLETE, "page_events 匿名流量比例", F.lit("pass"), anonymous=c("n"), total=c("t"), ratio=_rate(c("n"), c("t")))])
 
 
-def anonymous_ratio(events: DataFrame) -> DataFrame:
-    agg = events.agg(F.count(F.lit(1)).alias("t"), _count_if(F.col("user_id").isNull()).alias("n"))
-    return _rows(agg, _check(COMPLETE, "page_events 匿名流量比例", F.lit("pass"), anonymous=F.col("n"), total=F.col("t"),
-                             ratio=_rate("n", "t")))
+def coupon_pass(coupons: DataFrame) -> Pass:
+    return Pass(coupons, {"t": F.count(F.lit(1)), "n": _count_if(F.col("used_count") > 0)}, lambda c: [
+        _check(LOGIC, "coupons 整体使用状态", F.lit("pass"), usedTemplates=c("n"), totalTemplates=c("t"))])
 
 
 def coupons_used(coupons: DataFrame) -> DataFrame:
-    agg = coupons.agg(F.count(F.lit(1)).alias("t"), _count_if(F.col("used_count") > 0).alias("n"))
-    return _rows(agg, _check(LOGIC, "coupons 整体使用状态", F.lit("pass"), usedTemplates=F.col("n"), totalTemplates=F.col("t")))
+    return run([coupon_pass(coupons)])
 
 
-def spans(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _union([_rows(tables[t].agg(F.min(F.to_date("created_at")).alias("a"), F.max(F.to_date("created_at")).alias("b")),
-                         _check(TIMELY, f"{t} 时间范围", F.lit("pass"), minDate=F.col("a"), maxDate=F.col("b")))
-                   for t in ("orders", "page_events")])
+def service_spans(t: Mapping[str, DataFrame]) -> list[Pass]:
+    return [span_pass(t[n], n, "created_at", "minDate", "maxDate") for n in ("orders", "page_events")]
 
 
 def state_span_anonymous(t: Mapping[str, DataFrame]) -> DataFrame:
-    return _union([status_distribution(t["orders"], SPREAD, "orders 状态分布"), spans(t), anonymous_ratio(t["page_events"])])
+    return status_distribution(t["orders"], SPREAD, "orders 状态分布").unionByName(run([*service_spans(t), ratio_pass(t["page_events"])]))
 
 
 def service_report(t: Mapping[str, DataFrame], expected=EXPECTED_ROWS) -> DataFrame:
-    return _union([expected_rows(t, expected), user_blanks(t["users"]),
-                   repeated_keys(t, {k: PRIMARY_KEYS[k] for k in ("users", "orders", "sku")}),
-                   amount_anomalies(t["orders"]), paid_against_lines(t["orders"], t["order_items"]),
-                   state_span_anonymous(t), refund_anomalies(t["refunds"], t["orders"]),
-                   negative_stock_column(t["sku"]), coupons_used(t["coupons"])])
+    """The service's checks. Those that are plain aggregates share one scan per table."""
+    plain = run([*expected_passes(t, expected), blank_pass(t["users"]), amount_pass(t["orders"]), *service_spans(t),
+                 ratio_pass(t["page_events"]), stock_pass(t["sku"]), coupon_pass(t["coupons"])])
+    return _union([plain, repeated_keys(t, {k: PRIMARY_KEYS[k] for k in ("users", "orders", "sku")}),
+                   paid_against_lines(t["orders"], t["order_items"]), status_distribution(t["orders"], SPREAD, "orders 状态分布"),
+                   refund_anomalies(t["refunds"], t["orders"])])
 
 
 def missing_summary(df: DataFrame) -> DataFrame:

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from checks import check, ctes
 from tillwise.functions.exprs import round_to

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from checks import check, ctes
 from checks.features import wide
 from tillwise.functions.exprs import round_to
-from tillwise.operators import features, propensity as p
+from tillwise.operators import propensity as p
 
 PAID = "status IN ('paid', 'completed')"
 REF = "2000-12-31"

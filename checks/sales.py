@@ -1,5 +1,4 @@
 from checks import check
-from pyspark.sql import functions as F
 from tillwise.functions.exprs import round_to, safe_divide
 from tillwise.operators import sales
 

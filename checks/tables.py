@@ -82,21 +82,21 @@ def _(s, spark):
 @check("a12_order_range_scan", """SELECT order_id, user_id, order_date, channel, paid_amount FROM fact_order
     WHERE order_date BETWEEN '1996-03-01' AND '1997-02-28' AND channel IN ('search', 'email')""")
 def _(s, spark):
-    return tables.in_range(s.fact_order, "order_date", "1996-03-01", "1997-02-28", ["search", "email"]
+    return tables.load_range(s, "fact_order", "1996-03-01", "1997-02-28", ["search", "email"]
                            ).select("order_id", "user_id", "order_date", "channel", "paid_amount")
 
 
 @check("a13_line_range_scan", """SELECT order_id, sku_id, order_date, quantity, round(line_amount, 2) AS line_amount
     FROM fact_order_item WHERE order_date BETWEEN '1998-01-01' AND '1998-06-30'""")
 def _(s, spark):
-    return rounded(tables.in_range(s.fact_order_item, "order_date", "1998-01-01", "1998-06-30"), "line_amount"
+    return rounded(tables.load_range(s, "fact_order_item", "1998-01-01", "1998-06-30"), "line_amount"
                    ).select("order_id", "sku_id", "order_date", "quantity", "line_amount")
 
 
 @check("a14_traffic_range_scan", """SELECT event_id, user_id, session_id, event_type, channel, event_date FROM fact_traffic
     WHERE event_date BETWEEN '2024-01-05' AND '2024-01-20' AND channel IN ('live', 'social')""")
 def _(s, spark):
-    return tables.in_range(s.fact_traffic, "event_date", "2024-01-05", "2024-01-20", ["live", "social"]
+    return tables.load_range(s, "fact_traffic", "2024-01-05", "2024-01-20", ["live", "social"]
                            ).select("event_id", "user_id", "session_id", "event_type", "channel", "event_date")
 
 

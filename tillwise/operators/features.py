@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tillwise.functions.exprs import clip, is_paid, is_weekend, round_to, safe_divide
 from tillwise.functions.scale import exact_quantiles, stats
 from tillwise.operators.cleaning import correlations, numeric_columns
-from tillwise.operators.fulfilment import approved, refunded_lines_per_sku
+from tillwise.operators.fulfilment import refunded_lines_per_sku
 from tillwise.operators.inventory import stock_levels
 
 EVENT_TYPES = ("view_home", "search", "view_category", "view_product", "add_to_cart", "checkout", "pay_success")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tillwise.functions.exprs import percent, round_to, safe_divide, year_month
-from tillwise.functions.scale import one_row, scalars
 
 
 def _all() -> W:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tillwise.functions.exprs import is_paid, percent, round_to, safe_divide, year_month
+from tillwise.functions.exprs import is_paid, percent, round_to, year_month
 from tillwise.functions.scale import scalars
 
 STAGES = ("view_home", "view_product", "add_to_cart", "checkout", "pay_success")

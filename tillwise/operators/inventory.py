@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.functions.exprs import percent, round_to, safe_divide, stock
+from tillwise.functions.exprs import percent, round_to, stock
 from tillwise.functions.scale import running_totals
 
 CLASSES = ("A", "B", "C")

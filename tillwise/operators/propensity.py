@@ -15,7 +15,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tillwise.functions.exprs import is_paid, percent, round_to, safe_divide
+from tillwise.functions.exprs import is_paid, round_to, safe_divide
 from tillwise.functions.scale import durable, exact_quantiles, running_totals, stats
 from tillwise.operators.cleaning import numeric_columns
 from tillwise.operators.features import user_wide

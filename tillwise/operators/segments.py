@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tillwise.functions.exprs import is_paid, month_diff, percent, round_to, year_month
+from tillwise.functions.exprs import is_paid, month_diff, percent, round_to
 from tillwise.operators.features import last_date
 
 # fixed values: segment, description, strategy, action, suggested coupon

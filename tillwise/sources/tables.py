@@ -125,9 +125,36 @@ def catalog(shop: Shop, names: Iterable[str] = (*SOURCE_TABLES, *PUBLIC_VIEWS))
     return out
 
 
+RANGE_SOURCE = {"fact_order": ("orders", "created_at"), "fact_order_item": ("orders", "created_at"),
+                "fact_traffic": ("page_events", "created_at")}
+
+
+def load_range(shop: Shop, view: str, start: str | None = None, end: str | None = None,
+               channels: Iterable[str] | None = None) -> DataFrame:
+    """A fact view for an inclusive date range and channel list.
+
+    The range is put on the source's own time column, so it reaches the Parquet
+    scan; a filter on the view's date would stop at its cast.
+    """
+    table, column = RANGE_SOURCE[view]
+
+    def source(name: str) -> DataFrame:
+        df = getattr(shop, name)
+        if name != table:
+            return df
+        kind = df.schema[column].dataType
+        if start:
+            df = df.where(F.col(column) >= F.lit(start).cast(kind))
+        if end:
+            df = df.where(F.col(column) < F.date_add(F.lit(end).cast("date"), 1).cast(kind))
+        return df.where(F.col("channel").isin(*channels)) if channels else df
+
+    return getattr(Shop(source, shop.price_edges), view)
+
+
 def in_range(df: DataFrame, date_column: str, start: str | None = None, end: str | None = None,
              channels: Iterable[str] | None = None) -> DataFrame:
-    """Inclusive date range and channel list; both reach the Parquet scan where the column does."""
+    """Inclusive date range and channel list over any frame with a date column."""
     d = F.col(date_column)
     if start:
         df = df.where(d >= F.lit(start).cast("date"))

@@ -7,7 +7,6 @@ derived from order lines; see FIXTURES.md section 3.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F

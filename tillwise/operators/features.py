@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillwise.functions.exprs import clip, is_paid, is_weekend, round_to, safe_divide
-from tillwise.functions.scale import exact_quantiles, stats
+from tillwise.functions.scale import durable, exact_quantiles, stats
 from tillwise.operators.cleaning import correlations, numeric_columns
 from tillwise.operators.fulfilment import refunded_lines_per_sku
 from tillwise.operators.inventory import stock_levels
@@ -48,6 +48,7 @@ def rfm_scores(base: DataFrame, one_to_five: bool = False) -> DataFrame:
     R is 5 minus its bin (0..4); ``one_to_five`` makes it 6 minus the bin. Equal
     edges merge bins, so equal values never get different scores.
     """
+    base = durable(base)  # one row per user; the quantile passes read it instead of the orders
     edges = exact_quantiles(base, ["recency", "frequency", "monetary"], QUINTILES)
 
     def bin_of(c):

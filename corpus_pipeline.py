@@ -38,8 +38,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target weights of their sources and shuffled; a document drawn n times is n equal rows."""
-    out = mixing.mix(docs, keep=tuple(c for c in docs.columns if c not in ("doc_id", "source")))
-    return out.select(*docs.columns)
+    return mixing.mix(docs, keep=tuple(docs.columns)).select("kept.*")
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,7 +53,7 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float] | None, total_rat
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, total_ratio: float = 1.0, temperature: float = 2.0, seed: int = 11,
         keep: tuple[str, ...] = (), id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``doc_id, source, rate, copies, copy, position`` for every copy, and the input columns named in ``keep``.
+    """``doc_id, source, rate, copies, copy, position`` for every copy; the input columns named in ``keep`` as the struct ``kept``.
 
     Ordered by ``position``, a hash of seed, id and copy: rows of one range of positions lie in one output partition, so the
     files in order are the shuffled corpus. A null source is a source of its own; null ids share one draw. A source with
@@ -61,7 +61,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, total_ratio
     """
     rates = source_rates(docs, weights, total_ratio, temperature, source_col, text_col).select(
         F.col("source").alias("__s"), F.col("rate").alias("__rate"), F.col("pieces").alias("__pieces"), F.col("cdf").alias("__cdf"))
-    rows = docs.select(docs[id_col].alias("__id"), docs[source_col].alias("__source"), *[docs[c].alias(f"__keep_{c}") for c in keep])
+    rows = docs.select(docs[id_col].alias("__id"), docs[source_col].alias("__source"), *([F.struct(*[docs[c] for c in keep]).alias("__kept")] if keep else []))
     # One row per source on the right; adaptive execution broadcasts it when small and splits a hot source when not.
     rows = rows.join(rates, F.col("__source").eqNullSafe(F.col("__s")))
     one = lambda k: _count_at(F.col("__cdf"), uniform(F.lit(f"{seed}:draw"), F.coalesce(F.col("__id").cast("string"), F.lit("null")), k.cast("string")))
@@ -70,7 +70,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, total_ratio
     rows = rows.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     rows = rows.withColumn("__position", uniform(F.lit(f"{seed}:place"), F.coalesce(F.col("__id").cast("string"), F.lit("null")), F.col("__copy").cast("string")))
     out = rows.select(F.col("__id").alias("doc_id"), F.col("__source").alias("source"), F.col("__rate").alias("rate"), F.col("__copies").alias("copies"),
-                      F.col("__copy").alias("copy"), F.col("__position").alias("position"), *[F.col(f"__keep_{c}") for c in keep])
+                      F.col("__copy").alias("copy"), F.col("__position").alias("position"), *([F.col("__kept").alias("kept")] if keep else []))
     return out.orderBy("position", "doc_id", "copy")
 
 

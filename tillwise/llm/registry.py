@@ -90,7 +90,7 @@ FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted)
 """
 
 TOPK_SQL = """
-WITH codes AS (SELECT vec_id, list_transform(embedding, x -> CASE WHEN x > 0 AND NOT isnan(x) THEN '1' ELSE '0' END).array_to_string('')::BIT AS code FROM embeddings),
+WITH codes AS (SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 AND NOT isnan(x) THEN '1' ELSE '0' END), '')::BIT AS code FROM embeddings),
 pairs AS (
   SELECT q.vec_id AS query_id, n.vec_id AS neighbour_id, bit_count(xor(q.code, n.code))::INTEGER AS distance
   FROM codes q JOIN codes n ON q.vec_id % 50 = 0 AND q.vec_id <> n.vec_id)

@@ -33,7 +33,9 @@ def new_map(slot_bytes: dict[int, int], shards: int, slots: int = SLOTS) -> dict
 
 def edited_map(old: dict[int, int], slot_bytes: dict[int, int], shards: int) -> dict[int, int]:
     """The map after a change of the shard count or of sizes: slots of shards that are gone move first, then the
-    fullest shard gives to the emptiest as long as that lowers the larger of the two."""
+    fullest shard gives to the emptiest as long as that lowers the larger of the two. Only new shards are given slots
+    where there are any."""
+    new = sorted(set(range(shards)) - set(old.values())) or list(range(shards))
     out, load = dict(old), [0] * shards
     for slot, shard in old.items():
         if shard < shards:
@@ -45,7 +47,7 @@ def edited_map(old: dict[int, int], slot_bytes: dict[int, int], shards: int) ->
     for slot in sorted(out, key=lambda s: (slot_bytes.get(s, 0), s)):
         members[out[slot]].append(slot)
     for _ in range(len(out)):
-        full, empty = max(range(shards), key=lambda k: (load[k], -k)), min(range(shards), key=lambda k: (load[k], k))
+        full, empty = max(range(shards), key=lambda k: (load[k], -k)), min(new, key=lambda k: (load[k], k))
         gap = load[full] - load[empty]
         fitting = [s for s in members[full] if 0 < slot_bytes.get(s, 0) < gap]
         if not fitting:

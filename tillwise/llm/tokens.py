@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tillwise.llm.common import ROWS_PER_BATCH, new_path, stored
 
 END_ID = 2
-KEPT_PIECES = 400_000    # pieces of text whose ids a Python worker remembers (about 100 MB); more only costs time
+KEPT_PIECES = 500_000    # pieces of text whose ids a Python worker remembers (about 120 MB); more only costs time
 PART_BYTES = 32 << 20    # text bytes aimed at per output file
 ROW_GROUP = 16 << 20
 PAGE_ROWS = 256          # documents per page: what a selective read has to decode
@@ -27,6 +27,8 @@ PAGE_ROWS = 256          # documents per page: what a selective read has to deco
 _SPACES = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 _CUT = re.compile(rf"\x20(?=[^{_SPACES}])")
 _UNSURE = re.compile(rf"\x20(?:[{_SPACES}]|$)")
+_LETTERS_MARKS = re.compile(r"([^\W\d_]+)([^\w\s']+)")
+_LINES = re.compile(r"(\S+)\n(\S+)")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -39,6 +41,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.known: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -49,14 +52,28 @@ class Encoder:
         first, *rest = text.split(" ") if _UNSURE.search(text) is None else _CUT.split(text)
         known, out = self.known, [self.whole(first)]
         for piece in rest:
-            got = known.get(piece)
-            if got is None:
-                got = self.whole(" " + piece)
-                if len(known) < KEPT_PIECES and len(piece) < 24:
-                    known[piece] = got
-            out.append(got)
+            out.append(known.get(piece) or self._spaced(piece))
         return b"".join(out)
 
+    def _spaced(self, piece: str) -> bytes:
+        """Ids of a piece with the space before it. A run of letters, a run of marks after it and a single line break are
+        tokenized apart by the vocabulary's pattern, so the parts are looked up by themselves."""
+        if m := _LETTERS_MARKS.fullmatch(piece):
+            got = (self.known.get(m[1]) or self._spaced(m[1])) + self._bare(m[2])
+        elif m := _LINES.fullmatch(piece):
+            got = (self.known.get(m[1]) or self._spaced(m[1])) + self._bare("\n") + self._bare(m[2])
+        else:
+            got = self.whole(" " + piece)
+        return self._keep(self.known, piece, got)
+
+    def _bare(self, piece: str) -> bytes:
+        return self.bare.get(piece) or self._keep(self.bare, piece, self.whole(piece))
+
+    def _keep(self, where: dict[str, bytes], piece: str, got: bytes) -> bytes:
+        if len(self.known) + len(self.bare) < KEPT_PIECES and len(piece) < 24:
+            where[piece] = got
+        return got
+
 
 def encoder(path: str) -> Encoder:
     if path not in _encoders:

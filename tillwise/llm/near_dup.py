@@ -7,6 +7,7 @@ candidates, and a banded alignment of the k-mer sequences verifies them: matched
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import OrderedDict
 
@@ -19,6 +20,7 @@ from tillwise.llm.common import map_rows, stored, words
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 2   # at similarity 0.8 a sketch agrees with chance 0.64 or so; one of 20 bands of two with 0.99997
+WHOLE = 0.4           # share of a text's k-mers outside its hub up to which all of them are kept for the cheap bound
 CELLS = 1 << 20       # hashed k-mers held at once while a text is sketched
 _rng = np.random.default_rng(20)
 _MULTIPLY = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -74,7 +76,13 @@ def bands(x: np.ndarray) -> list[int]:
     return out.astype(np.int64).tolist()
 
 
-def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+def _matches(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the common k-mers in both texts."""
+    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    return at_a, at_b
+
+
+def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, found: tuple[np.ndarray, np.ndarray] | None = None) -> float:
     """Aligned k-mers over all k-mers of the two texts; 0 where it can't reach ``least``.
 
     K-mers are distinct within a text, so the best alignment is the longest increasing run of matched positions. At
@@ -84,9 +92,8 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     needed = least * (n + m) / (1 + least)
     if min(n, m) < needed - 1e-9:
         return 0.0
-    _, pa, pb = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    band = n + m - 2 * needed + 1
-    inside = np.abs(pa - pb) <= band
+    pa, pb = found or _matches(a, b)
+    inside = np.abs(pa - pb) <= n + m - 2 * needed + 1
     pa, pb = pa[inside], pb[inside]
     if len(pa) < needed - 1e-9:
         return 0.0
@@ -102,6 +109,29 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return matched / (n + m - matched)
 
 
+def differences(hub: np.ndarray, x: np.ndarray, least: float, found: tuple[np.ndarray, np.ndarray]) -> dict:
+    """What a text has that its hub lacks, as far as it decides which other texts of the hub can be like it.
+
+    Write D for the text's k-mers outside the hub, M for the hub's outside the text. Texts x and y of one hub with
+    similarity s or more share at least |D| - (1 - s)|x| k-mers of D, so that one of the first (1 - s)|x| + 1 in any common
+    order is shared (``d``). If they share none, then with gap = s |hub or x| - |hub and x| > 0 (x is not linked to the hub)
+    it follows that y is shorter than the hub by gap / s or more, and that they lack gap / s and |M of y| / (1 + s) common
+    k-mers: ``lacks_x`` and ``lacks_y`` are the first k-mers of M of which one is then shared. ``whole`` is all of D where it
+    is a small part of the text: then two texts share at most min(``common``) + |D of x and of y| k-mers.
+    """
+    at_hub, at_x = found
+    own, lost = np.ones(len(x), bool), np.ones(len(hub), bool)
+    own[at_x], lost[at_hub] = False, False
+    d, m = np.sort(x[own].astype(np.int64)), np.sort(hub[lost].astype(np.int64))
+    gap = least * (len(hub) + len(d)) - len(at_x)
+    share = max(1, math.ceil(len(d) - (1 - least) * len(x) - 1e-9))
+    share_x = max(1, math.ceil(gap / least - 1e-9))
+    return {"d": d[:len(d) - share + 1].tolist() if len(d) else [], "common": len(at_x), "gap": float(gap),
+            "whole": d.tolist() if len(d) <= WHOLE * len(x) else None, "shorter": len(hub) - len(x),
+            "lacks_x": m[:max(0, len(m) - share_x + 1)].tolist() if gap > 0 else [],
+            "lacks_y": m[:len(m) - math.ceil(len(m) / (1 + least) - 1e-9) + 1].tolist() if len(hub) > len(x) and len(m) else []}
+
+
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``key`` (hash of the words, or of the raw text where there are none), ``n`` k-mers and ``bands``."""
     def run(c: list[list]) -> dict[str, list]:
@@ -112,26 +142,51 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return map_rows(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), run, "doc_id long, key binary, n int, bands array<long>")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs (``a``, ``b``) whose alignment reaches ``least``. ``texts``: ``doc_id``, ``text``, ids unique."""
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
 
-    def run(c: list[list]) -> dict[str, list]:
-        recent: OrderedDict[int, np.ndarray] = OrderedDict()  # hubs come again and again
 
-        def of(doc: int, text: str) -> np.ndarray:
-            if doc not in recent:
-                recent[doc] = kmers(text or "")
-                if len(recent) > 64:
-                    recent.popitem(last=False)
-            return recent[doc]
+class _Recent:
+    """K-mers of the hubs met last: they come again and again."""
+
+    def __init__(self) -> None:
+        self.kept: OrderedDict[int, np.ndarray] = OrderedDict()
+
+    def of(self, doc: int, text: str | None) -> np.ndarray:
+        if doc not in self.kept:
+            self.kept[doc] = kmers(text or "")
+            if len(self.kept) > 64:
+                self.kept.popitem(last=False)
+        return self.kept[doc]
 
-        got = [(x, y) for x, y, s, t in zip(*c) if similarity(of(x, s), kmers(t or ""), least) >= least]
+
+def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs (``a``, ``b``) whose alignment reaches ``least``. ``texts``: ``doc_id``, ``text``."""
+    def run(c: list[list]) -> dict[str, list]:
+        recent = _Recent()
+        got = [(x, y) for x, y, s, t in zip(*c) if similarity(recent.of(x, s), kmers(t or ""), least) >= least]
         return {"a": [p[0] for p in got], "b": [p[1] for p in got]}
 
-    return map_rows(joined, run, "a long, b long")
+    return map_rows(_with_texts(pairs, texts), run, "a long, b long")
+
+
+def compare_with_hubs(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """For every pair (hub ``a``, text ``b``): whether they are ``linked``, the k-mers of ``b``, and how ``b`` differs."""
+    def run(c: list[list]) -> dict[str, list]:
+        recent, out = _Recent(), {k: [] for k in ("a", "b", "linked", "n", "d", "common", "whole", "gap", "shorter", "lacks_x", "lacks_y")}
+        for x, y, s, t in zip(*c):
+            hub, own = recent.of(x, s), kmers(t or "")
+            found = _matches(hub, own)
+            row = {"a": x, "b": y, "linked": similarity(hub, own, least, found) >= least, "n": len(own), **differences(hub, own, least, found)}
+            for k, v in row.items():
+                out[k].append(v)
+        return out
+
+    return map_rows(_with_texts(pairs, texts), run, "a long, b long, linked boolean, n int, d array<long>, common int, "
+                    "whole array<long>, gap double, shorter int, "
+                    "lacks_x array<long>, lacks_y array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -168,34 +223,71 @@ def classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     ones. Rows that repeat an id are one document, in the least class of theirs; rows without an id are left out.
 
     1. Equal texts are one text from here on. 2. In each band bucket every text is compared with one hub, that with most
-    copies. 3. Texts of a bucket that are still in different components are compared with each other. So a bucket of
-    copies costs a comparison per text, and no link that joins two components is lost.
+    copies. 3. Texts of one hub that are still in different components can only be alike if they share a k-mer that the
+    hub lacks, or lack common ones (``differences``). So texts that share such a k-mer form buckets of their own: again each
+    is compared with one hub first, and only then what is still apart is compared pair by pair. A group of copies costs a
+    few comparisons per text, however large it is, and no link that joins two components is lost.
     """
     own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
     sketches = stored(sketch(own), "sketches")
     reps = stored(sketches.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "equal-texts")
     buckets = sketches.join(reps.select(F.col("rep").alias("doc_id"), F.col("copies")), "doc_id").where("n > 0").select(
-        F.explode("bands").alias("band"), F.col("doc_id").alias("id"), "n", "copies")
-    shared = buckets.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct(-F.col("copies"), "id", "n")).alias("hub")).where("members > 1")
-    rows = stored(buckets.join(shared, "band").select("band", "id", "n", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), "members"), "buckets")
-    stars = rows.where((F.col("id") != F.col("hub")) & _near_sizes("n", "hub_n", least)).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(verify(stars, own, least), "star-links")
-    roots = stored(components(links), "star-roots")
-    left = rows.join(roots, "id", "left").select("band", "id", "n", F.coalesce("root", "id").alias("root"))
-    mixed = left.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    open_rows = stored(left.join(mixed, "band"), "open-buckets")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.id") < F.col("y.id"))
-                   & _near_sizes("x.n", "y.n", least)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    cross = cross.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = verify(stored(cross, "cross-pairs"), own, least)
-    found = components(links.unionByName(stored(more, "cross-links")))
-    grouped = reps.join(found, F.col("rep") == F.col("id"), "left").select("key", F.coalesce("root", "rep").alias("class_id"))
+        F.explode("bands").alias("band"), F.col("doc_id").alias("id"), "copies")
+    hubs = buckets.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct(-F.col("copies"), "id")).alias("hub")).where("members > 1")
+    stars = buckets.join(hubs.select("band", F.col("hub.id").alias("a")), "band").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    compared = stored(compare_with_hubs(stars, own, least), "hub-pairs")
+    links = compared.where("linked").select("a", "b")
+    roots = stored(components(links), "roots")
+    apart = stored(_rows_apart(compared, roots), "apart")
+    if not apart.isEmpty():
+        links = stored(links.unionByName(_links_apart(apart, compared, own, links, least)), "all-links")
+        roots = components(links)
+    grouped = reps.join(roots, F.col("rep") == F.col("id"), "left").select("key", F.coalesce("root", "rep").alias("class_id"))
     per = sketches.select("doc_id", "key").join(grouped, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     sizes = per.groupBy("class_id").agg(F.count("*").alias("class_size"))
     return per.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
 
 
+def _rows_apart(compared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of ``compared`` whose hub has texts of more than one component among its own, with the component of ``b``."""
+    rows = compared.join(roots.withColumnRenamed("id", "b"), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    mixed = rows.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("a")
+    return rows.join(mixed, "a")
+
+
+def _links_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, links: DataFrame, least: float) -> DataFrame:
+    """Links between texts of one hub that lie in different components."""
+    extra = stored(_several_roots(apart.select(F.explode("d").alias("kmer"), "a", F.col("b").alias("id"), "n", "root", "common", "whole"), "a", "kmer"), "extra-kmers")
+    second = extra.groupBy("a", "kmer").agg(F.min(F.struct("id", "n", "root")).alias("hub"))
+    pairs = extra.join(second, ["a", "kmer"]).where((F.col("root") != F.col("hub.root")) & _near_sizes("n", "hub.n", least)).select(
+        F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+    pairs = stored(pairs.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "second-pairs")
+    more = stored(verify(pairs, texts, least), "second-links")
+    roots = stored(components(links.unionByName(more)), "second-roots")
+    renewed = extra.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    renewed = stored(_several_roots(renewed.select("kmer", "a", "id", "n", "root", "common", "whole"), "a", "kmer"), "extra-kmers-left")
+    keep = (F.col("x.root") != F.col("y.root")) & _near_sizes("x.n", "y.n", least)
+    x, y = renewed.alias("x"), renewed.alias("y")
+    shared = F.array_intersect("x.whole", "y.whole")
+    needed = F.lit(least / (1 + least)) * (F.col("x.n") + F.col("y.n")) - F.least("x.common", "y.common") - 1e-9
+    enough = F.coalesce((F.array_min(shared) == F.col("x.kmer")) & (F.size(shared) >= needed), F.lit(True))  # null: one is not kept whole
+    sharing = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("x.id") < F.col("y.id")) & keep & enough)
+    lacking = apart.drop("root").join(roots, F.col("b") == F.col("id"), "left").withColumn("root", F.coalesce("root", "b"))
+    x = lacking.select("a", F.col("b").alias("id"), "n", "root", "gap", F.explode("lacks_x").alias("kmer")).alias("x")
+    y = lacking.select("a", F.col("b").alias("id"), "n", "root", "shorter", F.explode("lacks_y").alias("kmer")).alias("y")
+    missing = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("y.shorter") >= F.col("x.gap") / least - 1e-9) & keep)
+    left = sharing.select("x.id", F.col("y.id").alias("other")).unionByName(missing.select("x.id", F.col("y.id").alias("other")))
+    left = left.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct().join(
+        pairs.unionByName(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))), ["a", "b"], "left_anti")
+    return more.unionByName(verify(stored(left, "third-pairs"), texts, least))
+
+
+def _several_roots(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the keys under which more than one component is found."""
+    mixed = rows.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(*keys)
+    return rows.join(mixed, list(keys))
+
+
 def _near_sizes(a: str, b: str, least: float):
     """Sizes between which the similarity can reach ``least``."""
     return F.least(F.col(a), F.col(b)) >= F.lit(least) * F.greatest(F.col(a), F.col(b)) - 1e-9

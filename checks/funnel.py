@@ -30,7 +30,7 @@ def _(s, spark):
     return funnel.by_group(s.fact_traffic, "device")
 
 
-@check("g04_funnel_by_campaign", grouped("campaign_id", "ORDER BY campaign_id LIMIT 10"))
+@check("g04_funnel_by_campaign", grouped("campaign_id", "ORDER BY campaign_id"))
 def _(s, spark):
     return funnel.by_campaign(s.fact_traffic)
 

@@ -26,7 +26,7 @@ def _(s, spark):
 
 
 @check("a03_paged_lookup_desc", """SELECT order_id, paid_amount FROM s_orders WHERE channel = 'email'
-    ORDER BY paid_amount DESC, order_id LIMIT 5000""")
+    ORDER BY paid_amount DESC, order_id LIMIT 9000""")
 def _(s, spark):
     return tables.query_table(s.orders, "order_id", 9000, 0, "paid_amount", True, {"channel": "email"}
                               ).select("order_id", "paid_amount")
@@ -215,8 +215,7 @@ def _(s, spark):
     return tables.consistency(s.orders.select(*cols), s.orders.where("paid_amount > 5000").select(*cols), "orders")
 
 
-@check("a31_latest_actions", """SELECT * FROM (SELECT * FROM s_admin_action_logs ORDER BY created_at DESC, log_id DESC LIMIT 50)
-    WHERE action_type = 'search'""")
+@check("a31_latest_actions", """SELECT * FROM s_admin_action_logs WHERE action_type = 'search' ORDER BY created_at DESC, log_id DESC LIMIT 50""")
 def _(s, spark):
     return sinks.latest_actions(s.admin_action_logs, "search")
 

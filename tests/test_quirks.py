@@ -208,3 +208,18 @@ def test_retention_counts_users_once(spark):
     o = orders(spark, [(1, 1, None, D(2024, 2, 3), "paid", 1.0), (2, 1, None, D(2024, 2, 9), "paid", 1.0), (3, 2, None, D(2024, 4, 1), "refunded", 1.0)])
     r = segments.cohort_retention(users, o).first()
     assert (r["size"], r["month_1"], r["retention_1"], r["month_3"]) == (2, 1, 50.0, 0)
+
+
+def test_rounding_happens_once(spark):
+    rows = spark.createDataFrame([(2.344996,), (0.004951,), (2.675,), (-2.345,), (0.1 + 0.2,)], "v double")
+    assert [r[0] for r in rows.select(x.round_to("v")).collect()] == [2.34, 0.0, 2.68, -2.35, 0.3]
+
+
+def test_bandwidth_of_a_series_does_not_depend_on_others(spark):
+    from tillwise.operators import forecast
+
+    wave = lambda n: [(f"s{n}", i, float((i * 37) % 11 + i % 5)) for i in range(n)]
+    make = lambda rows: spark.createDataFrame(rows, "series string, t int, y double").withColumn("day", F.date_add(F.lit("2020-01-01").cast("date"), F.col("t")))
+    alone = forecast.kpss_test(make(wave(60))).where("series = 's60'").collect()
+    beside = forecast.kpss_test(make(wave(60) + wave(900))).where("series = 's60'").collect()
+    assert alone == beside

@@ -25,10 +25,11 @@ def round_to(value, digits: int = 2) -> Column:
     """Round half away from zero, the same however a sum was partitioned.
 
     Sums of doubles differ in the last bits with the order of addition, which
-    flips plain rounding at halves. Two spare decimal digits absorb that. NaN and
-    infinities give NULL.
+    flips plain rounding at halves. Six spare decimal digits absorb that and
+    nothing else: only values within 5e-7 of a unit of the last digit from a half
+    count as the half. NaN and infinities give NULL.
     """
-    exact = col(value).cast("double").try_cast(f"decimal(38,{digits + 2})")
+    exact = col(value).cast("double").try_cast(f"decimal(38,{digits + 6})")
     return F.round(exact, digits).cast("double")
 
 

@@ -22,12 +22,13 @@ def pacf_rows(batches):
             yield pd.DataFrame({"series": name, "lag": np.arange(1, len(r) + 1, dtype="int32"), "acf": r, "pacf": part})
 
 
-def arima_rows(name, last_day, y: np.ndarray, periods: int) -> pd.DataFrame:
+def arima_rows(name, last_day, y: np.ndarray, periods: int, drift: bool = False) -> pd.DataFrame:
+    """ARIMA(p, 1, q) forecast of one series; ``drift`` adds the mean step at every step."""
     steps = np.arange(1, periods + 1)
     best = None
     d = np.diff(y)
     if len(d) >= 30 and d.std() > 0:
-        mean = d.mean()
+        mean = d.mean() if drift else 0.0
         x = d - mean
         e = _long_ar_residuals(x)
         for p in (1, 2):
@@ -105,7 +106,7 @@ def adf_row(name, y: np.ndarray) -> pd.DataFrame:
     sd = y.std()
     y = (y - y.mean()) / (sd if sd > 0 else 1.0)
     d = np.diff(y)
-    longest = max(0, min(int(math.ceil(12 * (len(y) / 100) ** 0.25)), len(y) // 2 - 3))
+    longest = max(0, min(int(math.ceil(12 * (len(y) / 100) ** 0.25)), len(y) // 2 - 2))
 
     def design(lags, start):
         rows = np.arange(start, len(d))

@@ -150,10 +150,11 @@ def kpss_test(series: DataFrame, lags: int | None = None) -> DataFrame:
         pre = _lagged(e, first, "e").groupBy("series").agg(
             F.count("e").alias("n"), F.sum(F.col("e") * F.col("e")).alias("c0"),
             *[F.sum(F.col("e") * F.col(f"l{i}")).alias(f"c{i}") for i in range(1, first + 1)])
+        own = F.floor(F.pow(F.col("n").cast("double"), F.lit(2 / 9)))  # each series' own first bandwidth
         s0 = F.col("c0") / F.col("n")
         s1 = F.lit(0.0)
         for i in range(1, first + 1):
-            c = F.col(f"c{i}") / (F.col("n") / 2)
+            c = F.when(F.lit(i) <= own, F.col(f"c{i}") / (F.col("n") / 2)).otherwise(F.lit(0.0))
             s0, s1 = s0 + c, s1 + c * i
         width = F.least(F.floor(1.1447 * F.pow(F.pow(s1 / s0, 2), F.lit(1 / 3)) * F.pow("n", F.lit(1 / 3))), F.col("n") - 1)
         chosen = pre.select("series", width.cast("int").alias("lags"))

@@ -46,9 +46,10 @@ def by_group(traffic: DataFrame, group: str, stages: Sequence[str] = STAGES) ->
     return out.withColumn("conversion", percent(stages[-1], stages[0]))
 
 
-def by_campaign(traffic: DataFrame, first: int = 10) -> DataFrame:
-    """The ten smallest campaign ids (the report's size; order fixed so that it is stable)."""
-    return by_group(traffic, "campaign_id").orderBy("campaign_id").limit(first)
+def by_campaign(traffic: DataFrame, first: int | None = None) -> DataFrame:
+    """Every campaign, or the ``first`` smallest campaign ids."""
+    out = by_group(traffic, "campaign_id").orderBy("campaign_id")
+    return out if first is None else out.limit(first)
 
 
 def monthly(traffic: DataFrame, start: str = "view_home", cart: str = "add_to_cart", pay: str = "pay_success") -> DataFrame:

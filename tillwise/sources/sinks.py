@@ -56,7 +56,8 @@ def tag_users(users: DataFrame, tag: str, path: str) -> None:
                                 F.col("user_id").cast("string").alias("entity_id"), F.lit(tag).alias("detail")), path)
 
 
-def latest_actions(log: DataFrame, action_type: str | None = None, newest: int = 50) -> DataFrame:
-    """The newest actions; the type filter applies AFTER the newest are taken."""
-    out = log.orderBy(F.desc("created_at"), F.desc("log_id")).limit(newest)
-    return out.where(F.col("action_type") == action_type) if action_type else out
+def latest_actions(log: DataFrame, action_type: str | None = None, newest: int = 50, filter_first: bool = True) -> DataFrame:
+    """The newest actions of a type. ``filter_first=False`` takes the newest of all types and filters them."""
+    typed = lambda df: df.where(F.col("action_type") == action_type) if action_type else df
+    order = (F.desc("created_at"), F.desc("log_id"))
+    return typed(log).orderBy(*order).limit(newest) if filter_first else typed(log.orderBy(*order).limit(newest))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwise.plans.star import PUBLIC_VIEWS, SOURCE_TABLES, VIEWS, Shop
 
-MAX_PAGE = 5000
 
 
 def table_type(name: str) -> str:
@@ -22,13 +21,16 @@ def table_type(name: str) -> str:
     return "source" if name in SOURCE_TABLES else "unknown"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = False, quoted_breaks: bool = False) -> DataFrame:
     """CSV with header; text columns named like a date or time become timestamps.
 
+    ``infer`` types the other columns by their values. ``quoted_breaks`` is for files whose quoted texts hold line
+    breaks: such files are read whole by one task each, so it is off by default.
+
     A column is converted only if every non-empty value parses, which one
     aggregate over all such columns decides.
     """
-    reader = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", quoted_breaks).option("inferSchema", infer).option("escape", '"')
     df = reader.schema(schema).csv(path) if schema else reader.csv(path)
     dated = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
              and ("date" in f.name.lower() or "time" in f.name.lower())]
@@ -98,7 +100,7 @@ def query_table(df: DataFrame, key: str, limit: int = 100, offset: int = 0, orde
     order = [F.col(key)]
     if order_by:
         order.insert(0, F.desc(order_by) if descending else F.asc(order_by))
-    return out.orderBy(*order).offset(max(offset, 0)).limit(min(limit, MAX_PAGE))
+    return out.orderBy(*order).offset(max(offset, 0)).limit(limit)
 
 
 def page_total(df: DataFrame, filters: Mapping[str, object] | None = None) -> DataFrame:

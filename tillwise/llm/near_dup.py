@@ -257,7 +257,7 @@ def _rows_apart(compared: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _links_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, links: DataFrame, least: float) -> DataFrame:
     """Links between texts of one hub that lie in different components."""
-    extra = stored(_several_roots(apart.select(F.explode("d").alias("kmer"), "a", F.col("b").alias("id"), "n", "root", "common", "whole"), "a", "kmer"), "extra-kmers")
+    extra = stored(_several_roots(apart.select(F.explode("d").alias("kmer"), "a", F.col("b").alias("id"), "n", "root"), "a", "kmer"), "extra-kmers")
     second = extra.groupBy("a", "kmer").agg(F.min(F.struct("id", "n", "root")).alias("hub"))
     pairs = extra.join(second, ["a", "kmer"]).where((F.col("root") != F.col("hub.root")) & _near_sizes("n", "hub.n", least)).select(
         F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
@@ -265,9 +265,11 @@ def _links_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, links:
     more = stored(verify(pairs, texts, least), "second-links")
     roots = stored(components(links.unionByName(more)), "second-roots")
     renewed = extra.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    renewed = stored(_several_roots(renewed.select("kmer", "a", "id", "n", "root", "common", "whole"), "a", "kmer"), "extra-kmers-left")
+    renewed = stored(_several_roots(renewed.select("kmer", "a", "id", "n", "root"), "a", "kmer"), "extra-kmers-left")
     keep = (F.col("x.root") != F.col("y.root")) & _near_sizes("x.n", "y.n", least)
-    x, y = renewed.alias("x"), renewed.alias("y")
+    # The lists of k-mers join only what is left, and each once before the rows meet.
+    detailed = renewed.join(apart.select("a", F.col("b").alias("id"), "common", "whole"), ["a", "id"])
+    x, y = detailed.alias("x"), detailed.alias("y")
     shared = F.array_intersect("x.whole", "y.whole")
     needed = F.lit(least / (1 + least)) * (F.col("x.n") + F.col("y.n")) - F.least("x.common", "y.common") - 1e-9
     enough = F.coalesce((F.array_min(shared) == F.col("x.kmer")) & (F.size(shared) >= needed), F.lit(True))  # null: one is not kept whole

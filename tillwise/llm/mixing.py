@@ -75,5 +75,8 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, total_ratio
 
 
 def _count_at(cdf: Column, u: Column) -> Column:
-    """How many entries of the table are at most ``u``: the inverse of the distribution at ``u``."""
-    return F.size(F.filter(cdf, lambda p: p <= u))
+    """How many entries of the table are at most ``u``: the inverse of the distribution at ``u``.
+
+    An expression named inside a lambda is computed anew for every entry; as the element of an array ``u`` is computed once.
+    """
+    return F.transform(F.array(u), lambda at: F.size(F.filter(cdf, lambda p: p <= at)))[0]

@@ -191,10 +191,9 @@ def compare_with_hubs(pairs: DataFrame, texts: DataFrame, least: float = SIMILAR
 
 def components(links: DataFrame) -> DataFrame:
     """``id``, ``root`` (least id) for every end of a link: alternating large-star and small-star rounds, each a minimum
-    per node and a join, until nothing changes. Hubs are split by adaptive skew joins; no group is collected."""
+    per node and a join, until only stars are left. Hubs are split by adaptive skew joins; no group is collected."""
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    mark = _mark(edges)
-    while True:
+    while not _only_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -203,16 +202,26 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("s")).select(
             F.col("s.v").alias("u"), F.col("s.m").alias("v")).where("u <> v").distinct()
         edges = stored(small, "small-star")
-        now = _mark(edges)
-        if now == mark:
-            break
-        mark = now
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum("v"), F.bit_xor(F.xxhash64("u", "v"))).first()
-    return tuple(r)
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v`` and no ``v`` has another above it: the state that the rounds leave unchanged."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").count() == 0
+
+
+def joined_by(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``id``, ``root`` of ``components`` after further ``links``: components of the links between roots, so that only
+    what they join is worked on."""
+    def of(end: str) -> DataFrame:
+        return roots.select(F.col("id").alias(end), F.col("root").alias(f"root_{end}"))
+
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    new = components(between).select(F.col("id").alias("root"), F.col("root").alias("renewed"))
+    first_met = new.join(roots.select(F.col("id").alias("root")), "root", "left_anti").select(F.col("root").alias("id"), F.col("renewed").alias("root"))
+    return roots.join(new, "root", "left").select("id", F.coalesce("renewed", "root").alias("root")).unionByName(first_met)
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,12 +245,10 @@ def classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     hubs = buckets.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct(-F.col("copies"), "id")).alias("hub")).where("members > 1")
     stars = buckets.join(hubs.select("band", F.col("hub.id").alias("a")), "band").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     compared = stored(compare_with_hubs(stars, own, least), "hub-pairs")
-    links = compared.where("linked").select("a", "b")
-    roots = stored(components(links), "roots")
+    roots = stored(components(compared.where("linked").select("a", "b")), "roots")
     apart = stored(_rows_apart(compared, roots), "apart")
     if not apart.isEmpty():
-        links = stored(links.unionByName(_links_apart(apart, compared, own, links, least)), "all-links")
-        roots = components(links)
+        roots = _roots_of_apart(apart, compared, own, roots, least)
     grouped = reps.join(roots, F.col("rep") == F.col("id"), "left").select("key", F.coalesce("root", "rep").alias("class_id"))
     per = sketches.select("doc_id", "key").join(grouped, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     sizes = per.groupBy("class_id").agg(F.count("*").alias("class_size"))
@@ -255,15 +262,14 @@ def _rows_apart(compared: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(mixed, "a")
 
 
-def _links_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, links: DataFrame, least: float) -> DataFrame:
-    """Links between texts of one hub that lie in different components."""
+def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """``roots`` after the links between texts of one hub that lie in different components."""
     extra = stored(_several_roots(apart.select(F.explode("d").alias("kmer"), "a", F.col("b").alias("id"), "n", "root"), "a", "kmer"), "extra-kmers")
     second = extra.groupBy("a", "kmer").agg(F.min(F.struct("id", "n", "root")).alias("hub"))
     pairs = extra.join(second, ["a", "kmer"]).where((F.col("root") != F.col("hub.root")) & _near_sizes("n", "hub.n", least)).select(
         F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
     pairs = stored(pairs.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "second-pairs")
-    more = stored(verify(pairs, texts, least), "second-links")
-    roots = stored(components(links.unionByName(more)), "second-roots")
+    roots = stored(joined_by(roots, verify(pairs, texts, least)), "second-roots")
     renewed = extra.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     renewed = stored(_several_roots(renewed.select("kmer", "a", "id", "n", "root"), "a", "kmer"), "extra-kmers-left")
     keep = (F.col("x.root") != F.col("y.root")) & _near_sizes("x.n", "y.n", least)
@@ -281,7 +287,7 @@ def _links_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, links:
     left = sharing.select("x.id", F.col("y.id").alias("other")).unionByName(missing.select("x.id", F.col("y.id").alias("other")))
     left = left.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct().join(
         pairs.unionByName(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))), ["a", "b"], "left_anti")
-    return more.unionByName(verify(stored(left, "third-pairs"), texts, least))
+    return joined_by(roots, verify(stored(left, "third-pairs"), texts, least))
 
 
 def _several_roots(rows: DataFrame, *keys: str) -> DataFrame:

@@ -142,6 +142,13 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return map_rows(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), run, "doc_id long, key binary, n int, bands array<long>")
 
 
+def texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` that a pair names. The ids are written first, so that Spark knows their size: few are
+    broadcast and no text is shuffled, many make it one shuffle."""
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ends")
+    return texts.join(ends, "doc_id", "left_semi")
+
+
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
@@ -169,7 +176,7 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
         got = [(x, y) for x, y, s, t in zip(*c) if similarity(recent.of(x, s), kmers(t or ""), least) >= least]
         return {"a": [p[0] for p in got], "b": [p[1] for p in got]}
 
-    return map_rows(_with_texts(pairs, texts), run, "a long, b long")
+    return map_rows(_with_texts(pairs, texts_of(pairs, texts)), run, "a long, b long")
 
 
 def compare_with_hubs(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -244,11 +251,13 @@ def classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
         F.explode("bands").alias("band"), F.col("doc_id").alias("id"), "copies")
     hubs = buckets.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct(-F.col("copies"), "id")).alias("hub")).where("members > 1")
     stars = buckets.join(hubs.select("band", F.col("hub.id").alias("a")), "band").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    compared = stored(compare_with_hubs(stars, own, least), "hub-pairs")
+    stars = stored(stars, "stars")
+    texts = stored(texts_of(stars, own), "texts-of-pairs")  # all later pairs are among these texts
+    compared = stored(compare_with_hubs(stars, texts, least), "hub-pairs")
     roots = stored(components(compared.where("linked").select("a", "b")), "roots")
     apart = stored(_rows_apart(compared, roots), "apart")
     if not apart.isEmpty():
-        roots = _roots_of_apart(apart, compared, own, roots, least)
+        roots = _roots_of_apart(apart, compared, texts, roots, least)
     grouped = reps.join(roots, F.col("rep") == F.col("id"), "left").select("key", F.coalesce("root", "rep").alias("class_id"))
     per = sketches.select("doc_id", "key").join(grouped, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     sizes = per.groupBy("class_id").agg(F.count("*").alias("class_size"))

@@ -108,6 +108,22 @@ def test_templates_and_slots(spark, odd_docs, no_docs):
     assert decontaminate.find_leaks(docs, items.where("false")).count() == 0
 
 
+def test_leaks_beside_one_changed_value_and_without_template(spark):
+    plain = "the old mill by the quiet river was sold to a young baker who wanted to grind rye for the village and its many small farms"
+    twice = f"In 1931 {plain} and in 1931 the miller went away to the coast"
+    item = {1: twice, 2: "Tom has 5 apples and 5 pears. How many pieces of fruit does he have in all?", 3: "48 / 2 = 24; 48 + 24 = 72", 4: "48 / 2 = 24",
+            5: "What is the sum of 3 numbers if each of them is 7", 6: "Tell Alice that Robert met Susan near Old Berlin on the way to Paris", 7: "is it so"}
+    text = {10: twice.replace("1931 the miller", "1947 the miller"), 11: item[2].replace("5 apples", "7 apples").replace("5 pears", "9 pears"),
+            12: "So 48 / 2 = 24; 48 + 24 = 72 and no more", 13: "the user asked What is the sum of 4 numbers if each of them is 9", 14: item[6].upper(),
+            15: "the user asked Which is the sum of 4 numbers if each of them is 9", 16: "it is so that 48 and 24 are 72", 17: item[6].replace("Robert", "Peter")}
+    items = spark.createDataFrame(list(item.items()), "item_id long, text string")
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(docs, items).collect()}
+    assert set(got) == {(10, 1), (11, 2), (12, 3), (12, 4), (13, 5), (14, 6), (17, 6)}
+    assert {k: r.kind for k, r in got.items() if r.kind != "exact"} == {(11, 2): "reparameterised", (13, 5): "reparameterised", (17, 6): "reparameterised"}
+    assert all(r.matched <= r.item_windows and 0 < r.coverage <= 1 for r in got.values()) and got[14, 6].coverage == 1
+
+
 def plain_classes(docs):
     """Components over all pairs of k-mer sequences by quadratic alignment."""
     root = {i: i for i, _ in docs}

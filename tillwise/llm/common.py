@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WORD = re.compile(r"\w+")
-ROWS_PER_BATCH = 500  # rows per Arrow batch: bounds a Python worker's memory even where every text is long
+ROWS_PER_BATCH = 500       # rows of an Arrow batch that become Python objects at once,
+BYTES_PER_BATCH = 4 << 20  # and their bytes, but for a single longer row
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,6 +36,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches (64 MB at most by Spark's own setting) in parts that bound what a worker holds as Python objects."""
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            n = min(ROWS_PER_BATCH, batch.num_rows - at)
+            while n > 1 and batch.slice(at, n).nbytes > BYTES_PER_BATCH:
+                n //= 2
+            yield batch.slice(at, n)
+            at += n
+
+
 def map_rows(df: DataFrame, fn: Callable[[list[list]], dict[str, list]], schema: str) -> DataFrame:
     """``fn`` gets the columns of one Arrow batch as Python lists and returns the output columns."""
     spark = df.sparkSession

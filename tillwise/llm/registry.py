@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import decontaminate, mixing, near_dup, pii, quality, secrets, sharding, tokens, topk, url_filter
+from tillwise.llm import decontaminate, mixing, near_dup, pii, quality, repeats, secrets, sharding, tokens, topk, url_filter
 from tillwise.llm.common import span_digest
 
 # The rules of the URL query.
@@ -67,9 +67,13 @@ def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.classes(_table(spark, folder, "documents"))
 
 
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pii, op2_url_filter, op3_topk_search, op4_token_output, op5_mix_sources, op6_quality, op7_decontaminate,
-                                    op8_sharding, op9_secrets, op10_near_dup)}
+                                    op8_sharding, op9_secrets, op10_near_dup, op13_substring_dedup)}
 
 
 MIX_SQL = """
@@ -99,5 +103,20 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neig
 """
 
 
+REPEATS_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (SELECT r, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM docs),
+windows AS (SELECT r, i AS j, array_to_string(ws[i:i + 34], ' ') AS seq FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM docs)),
+repeats AS (SELECT r, j FROM windows WHERE seq IN (SELECT seq FROM windows GROUP BY seq HAVING count(*) > 1)),
+marked AS (
+  SELECT w.r, w.j, w.word, coalesce(max(CASE WHEN p.j IS NOT NULL THEN 1 END) OVER (PARTITION BY w.r ORDER BY w.j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) AS gone
+  FROM words w LEFT JOIN repeats p ON w.r = p.r AND w.j = p.j),
+per AS (SELECT r, sum(gone) AS n_removed, list(word ORDER BY j) FILTER (WHERE gone = 0) AS kept FROM marked GROUP BY r)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(p.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(p.kept, ' '), '')) AS kept_sha256
+FROM docs d LEFT JOIN per p ON d.r = p.r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk_search": TOPK_SQL, "op5_mix_sources": MIX_SQL}
+    return {"op3_topk_search": TOPK_SQL, "op5_mix_sources": MIX_SQL, "op13_substring_dedup": REPEATS_SQL}

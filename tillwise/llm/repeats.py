@@ -136,6 +136,11 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _spread(doc: int | None, first: int) -> int:
+    """A bucket for a mark, which may go anywhere: copies of one text have many."""
+    return xxhash.xxh3_64_intdigest(b"%d %d" % (doc or 0, first)) - (1 << 63)
+
+
 def _send(batches: Iterator[pa.RecordBatch], window: int, mer: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Super-k-mers of the documents' shared minimisers. A string that a block of documents holds more than once is repeated
     for sure: its places leave as marks (no ``packed``), and the string counts for two."""
@@ -149,7 +154,7 @@ def _send(batches: Iterator[pa.RecordBatch], window: int, mer: int, hot: int) ->
             single = len(places) == 1
             out.append((key, pack(string), 1 if single else 2, *(places[0] if single else (None, None, None, None))))
             if not single:
-                out += [(p[1], None, 0, *p) for p in places]
+                out += [(_spread(p[0], p[2]), None, 0, *p) for p in places]
         block.clear()
         return out
 

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 
-from tillwise.llm import repeats
+from llm.conftest import TEXTS
+from tillwise.llm import repeats, spelling
 
 
 def plain_repeats(texts, k=35):
@@ -86,3 +88,79 @@ def test_repeats_of_odd_rows(spark, odd_docs, no_docs):
     assert repeats.remove_repeats(no_docs).count() == 0
     twice = spark.createDataFrame([(1, "w " * 40), (1, "w " * 40), (None, "v1 " + "u t s r " * 10), (None, "v2 " + "u t s r " * 10)], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.n_removed) for r in repeats.remove_repeats(twice).collect()) == [(0, 40), (0, 40), (1, 40), (1, 40)]
+
+
+def plain_near(words):
+    """Words one edit apart, by their texts with one letter deleted."""
+    near, shorter = defaultdict(set), defaultdict(list)
+    for w in words:
+        for i in range(len(w)):
+            rest = w[:i] + w[i + 1:]
+            shorter[i, rest].append(w)
+            if rest in words:
+                near[w].add(rest)
+                near[rest].add(w)
+    for group in shorter.values():
+        for x in group:
+            near[x] |= {y for y in group if y != x}
+    return near
+
+
+def plain_groups(docs):
+    n = Counter()
+    for doc, text in docs:
+        n.update(spelling.runs(doc, text or ""))
+    n = {w: c for w, c in n.items() if c >= 3}
+    near, form = plain_near(n), {}
+    for w in n:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best and n[best] >= 2 * n[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return {w: (c, len(near[w]), form[w], form[w] and n[form[w]], root(w)) for w, c in n.items()}
+
+
+def test_spelling_groups_are_those_of_brute_force(spark):
+    rng = random.Random(3)
+    stems = ["".join(rng.choice("abcàÿ") for _ in range(rng.randrange(5, 9))) for _ in range(40)]
+
+    def changed(w):
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(w))
+            w = w[:at] + rng.choice(["", "a", "ba", "ÿ"]) + w[at + rng.randrange(2):]
+        return w if rng.randrange(5) else w.capitalize()
+
+    docs = [(i, " ".join(changed(rng.choice(stems)) for _ in range(400)) + "1aaaaa_aaaaa aaaaaa aaaaaaa") for i in range(40)] + [(None, "aaaaa " * 9), (3, None)]
+    want = plain_groups(docs)
+    got = spelling.group(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {r.word: (r.n, r.n_near, r.form, r.form_n, r.root) for r in got} == want and len(got) == len(want)
+    assert any(w[4] not in (w[2], k) for k, w in want.items())  # a chain of forms
+
+
+def test_pivots_are_the_cheapest_disjoint_pair():
+    rng = random.Random(9)
+    for _ in range(300):
+        word = "".join(rng.choice("abc") for _ in range(rng.randrange(5, 12)))
+        frequency = {word[i:i + 2]: rng.randrange(9) for i in range(len(word) - 1)}
+        places = spelling.prefix(word, {g: i for i, g in enumerate(sorted(frequency, key=lambda g: (frequency[g], g)))})
+        a, b = spelling.pivots(word, places, frequency)
+        cost = lambda p: sum(frequency[word[i:i + 2]] for i in p)
+        assert b - a >= 2 and {a, b} <= set(places)
+        assert cost((a, b)) == min(cost(p) for p in combinations(places, 2) if p[1] - p[0] >= 2)
+
+
+def test_spelling_of_odd_rows(spark, odd_docs, no_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    got = {r.word: (r.n, r.n_near, r.form, r.form_n, r.root) for r in spelling.group(odd_docs).collect()}
+    assert got == plain_groups(rows) and "three" in got and "x" * 200_000 not in got and len(TEXTS) == 13
+    assert spelling.group(no_docs).count() == 0
+    assert spelling.group(spark.createDataFrame([(1, "alone alone alone")], "doc_id long, text string")).collect() == [("alone", 3, 0, None, None, "alone")]
+    tied = spark.createDataFrame([(1, "brand " * 8 + "brend " * 8 + "brind " * 4)], "doc_id long, text string")
+    assert {r.word: (r.form, r.n_near) for r in spelling.group(tied).collect()} == {"brand": (None, 2), "brend": (None, 2), "brind": ("brand", 2)}
+
+
+def test_roots_of_long_chains(spark):
+    links = spark.createDataFrame([(f"w{i}", f"w{i + 1}") for i in range(70)] + [("x", "y")], "word string, form string")
+    assert {r.word: r.root for r in spelling.roots(links).collect()} == {**{f"w{i}": "w70" for i in range(70)}, "x": "y"}

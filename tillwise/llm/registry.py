@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import decontaminate, mixing, near_dup, pii, quality, repeats, secrets, sharding, tokens, topk, url_filter
+from tillwise.llm import decontaminate, mixing, near_dup, pii, quality, repeats, secrets, sharding, spelling, tokens, topk, url_filter
 from tillwise.llm.common import span_digest
 
 # The rules of the URL query.
@@ -67,13 +67,17 @@ def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.classes(_table(spark, folder, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group(_table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pii, op2_url_filter, op3_topk_search, op4_token_output, op5_mix_sources, op6_quality, op7_decontaminate,
-                                    op8_sharding, op9_secrets, op10_near_dup, op13_substring_dedup)}
+                                    op8_sharding, op9_secrets, op10_near_dup, op12_spelling_variants, op13_substring_dedup)}
 
 
 MIX_SQL = """
@@ -103,6 +107,34 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neig
 """
 
 
+# crc32 of UTF-8 text: ``crc32.t`` is the table of the usual reflected polynomial; a query folds it over the bytes.
+CRC_TABLE_SQL = """crc32 AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i))"""
+CRC_SQL = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen({0})), lambda i: ('0x' || substr(hex({0}), 2 * i + 1, 2))::BIGINT)), "
+           "lambda c, b: xor(c >> 8, crc32.t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+         FROM documents),
+counted AS (SELECT run, coalesce(doc_id::VARCHAR, 'null') || ':' || run AS hashed, count(*) AS n FROM runs GROUP BY ALL),
+crcs AS (SELECT run, n, {CRC_SQL.format("hashed")} AS h FROM counted, crc32),
+damaged AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM crcs),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+shorter AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, w.word, w.n FROM shorter a JOIN words w ON a.rest = w.word
+  UNION SELECT w.word, w.n, a.word, a.n FROM shorter a JOIN words w ON a.rest = w.word),
+best AS (SELECT word, any_value(n) AS n, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+forms AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= 2 * w.n THEN b.near END AS form,
+                 CASE WHEN b.near_n >= 2 * w.n THEN b.near_n END AS form_n FROM words w LEFT JOIN best b ON w.word = b.word),
+ends AS (SELECT word, word AS at, form AS next FROM forms
+         UNION ALL SELECT e.word, f.word, f.form FROM ends e JOIN forms f ON e.next = f.word)
+SELECT f.word, f.form, e.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN ends e ON f.word = e.word WHERE e.next IS NULL
+"""
+
 REPEATS_SQL = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 words AS (SELECT r, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM docs),
@@ -119,4 +151,4 @@ FROM docs d LEFT JOIN per p ON d.r = p.r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk_search": TOPK_SQL, "op5_mix_sources": MIX_SQL, "op13_substring_dedup": REPEATS_SQL}
+    return {"op3_topk_search": TOPK_SQL, "op5_mix_sources": MIX_SQL, "op12_spelling_variants": SPELLING_SQL, "op13_substring_dedup": REPEATS_SQL}

@@ -6,7 +6,8 @@ are its pivots. One edit destroys one pivot at most, and of two near words the p
 are met in the prefix of the other. So pivots are joined with prefixes, and what meets is verified by its edit distance.
 
 Position limit: the edit lies on one side of a bigram that both words keep, so its place counted from the other end of the
-word is the same, and so are all letters on that side. They are part of the join key, which keeps buckets small.
+word is the same, and so are all letters on that side. The side with the edit is cut in the middle: one of its halves is the
+same as well. Place, length and all letters known to agree form the join key, which keeps buckets small.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tillwise.llm.common import map_rows, slices, stored
@@ -84,6 +86,17 @@ def pivots(word: str, places: list[int], frequency: dict[str, int]) -> tuple[int
     return two[1], two[2]
 
 
+def agreed(word: str, at: int, length: int) -> Iterator[int]:
+    """Hashes of what ``word`` and a near word of ``length`` letters agree on if both keep the bigram at ``at``: read from the
+    start or from the end, the letters up to the bigram's end and the first or second half of the rest."""
+    for way, w, p in (("<", word, at), (">", word[::-1], len(word) - 2 - at)):
+        if p + 2 <= length:
+            cut = (p + 2 + length) // 2  # as the word of that length counts; the edit is behind it or before it
+            yield xxhash.xxh3_64_intdigest(f"{way}{p},{length},{w[:cut]}") - (1 << 63)
+            if cut > p + 2:
+                yield xxhash.xxh3_64_intdigest(f"{way}{p},{length},{w[:p + 2]},{w[cut + len(word) - length:]}") - (1 << 63)
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """``word``, ``n``, ``near``, ``near_n``: every ordered pair of words one insertion, deletion or replacement apart.
     ``words``: distinct ``word`` of ``SHORTEST`` code points or more, ``n``."""
@@ -91,21 +104,24 @@ def near_pairs(words: DataFrame) -> DataFrame:
     frequency = {r["gram"]: r["n"] for r in grams.groupBy("gram").agg(F.count("*").alias("n")).collect()}  # at most 90 x 90 letters
     rank = {g: i for i, g in enumerate(sorted(frequency, key=lambda g: (frequency[g], g)))}
 
-    def sign(c: list[list]) -> dict[str, list]:
-        out = {"word": [], "n": [], "key": [], "pivot": []}
-        for word, n in zip(*c):
-            places = prefix(word, rank)
-            chosen = pivots(word, places, frequency)
-            for at in places:
-                for key in ("<" + word[:at + 2], word[at:] + ">"):
-                    for column, value in zip(out.values(), (word, n, key, at in chosen)):
-                        column.append(value)
-        return out
-
-    signed = stored(map_rows(words.select("word", "n"), sign, "word string, n long, key string, pivot boolean"), "gram-keys")
-    a, b = signed.where("pivot").alias("a"), signed.alias("b")
-    near = ((F.col("a.key") == F.col("b.key")) & (F.col("a.word") != F.col("b.word"))
-            & (F.abs(F.length("a.word") - F.length("b.word")) <= 1) & (F.levenshtein("a.word", "b.word", 1) == 1))
+    def keys(of_pivots: bool) -> DataFrame:
+        def sign(c: list[list]) -> dict[str, list]:
+            out = {"word": [], "n": [], "last": [], "key": []}
+            for word, n in zip(*c):
+                places = prefix(word, rank)
+                last = max(rank[word[at:at + 2]] for at in places)
+                for at in pivots(word, places, frequency) if of_pivots else places:
+                    for length in range(max(SHORTEST, len(word) - 1), len(word) + 2) if of_pivots else [len(word)]:
+                        for key in agreed(word, at, length):
+                            for column, value in zip(out.values(), (word, n, last, key)):
+                                column.append(value)
+            return out
+
+        return map_rows(words.select("word", "n"), sign, "word string, n long, last int, key long")
+
+    a, b = keys(True).alias("a"), keys(False).alias("b")
+    near = ((F.col("a.key") == F.col("b.key")) & (F.col("a.last") <= F.col("b.last")) & (F.col("a.word") != F.col("b.word"))
+            & (F.levenshtein("a.word", "b.word", 1) == 1))
     found = a.join(b, near).select(F.array(F.struct("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n")),
                                            F.struct("b.word", "b.n", F.col("a.word").alias("near"), F.col("a.n").alias("near_n"))).alias("both"))
     return found.select(F.inline("both")).distinct()

@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from llm.conftest import TEXTS
-from tillwise.llm import repeats, spelling
+from tillwise.llm import repeats, spelling, trie
 
 
 def plain_repeats(texts, k=35):
@@ -164,3 +166,78 @@ def test_spelling_of_odd_rows(spark, odd_docs, no_docs):
 def test_roots_of_long_chains(spark):
     links = spark.createDataFrame([(f"w{i}", f"w{i + 1}") for i in range(70)] + [("x", "y")], "word string, form string")
     assert {r.word: r.root for r in spelling.roots(links).collect()} == {**{f"w{i}": "w70" for i in range(70)}, "x": "y"}
+
+
+def plain_trie(rows):
+    """Nodes of the rebuilt conversations, prefix by prefix. ``rows``: conv_id, turn, role, text."""
+    turns = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            turns[c].append((turn is not None, turn or 0, digest, role, text))
+    own = {c: [x[3:] for x in sorted(t)] for c, t in turns.items()}
+    base = lambda c: c - int(np.fmod(c, 20))
+    h = {c: zlib.crc32(str(c).encode()) % 4 for c in own}
+    built = {c: tuple(own.get(base(c), [])[:h[c]] + own[c][h[c]:]) for c in own}
+    members = defaultdict(list)
+    for c in sorted(built):
+        for d in range(len(built[c]) + 1):
+            members[built[c][:d]].append(c)
+    out = set()
+    for p, found in members.items():
+        under = [q for q in members if q[:len(p)] == p]
+        kids = {q: [r for r in members if r[:-1] == q and len(r) == len(q) + 1] for q in under}
+        count = lambda q: len(q[-1][1].encode().split()) if q else 0
+        ends = ",".join(str(c) for c in found if len(built[c]) == len(p))
+        out.add((found[0], len(p), members[p[:-1]][0] if p else None, len(found), len(kids[p]), sum(not k for k in kids.values()),
+                 sum((len(members[q]) - 1) * count(q) for q in under), hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def trie_rows(spark, rows, chunk_turns=trie.CHUNK_TURNS, parts=3):
+    frame = spark.createDataFrame([(*r, "seq", 1) for r in rows], "conv_id long, turn long, role string, text string, seq string, depth int")
+    got = trie.prefix_trie(frame.repartition(parts), chunk_turns).collect()
+    fields = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    out = {tuple(r[f] for f in fields) for r in got}
+    assert len(out) == len(got)
+    return out
+
+
+@pytest.mark.parametrize("chunk_turns", [1, 7, 40, 10**6])
+def test_trie_is_that_of_brute_force(spark, chunk_turns):
+    rng = random.Random(chunk_turns)
+    rows = [(c, t, rng.choice(["user", "bot", None]), rng.choice(["a b", "c", "", None])) for c in range(70) for t in range(rng.randrange(1, 6))]
+    rows += [(c, t, "user", "same words here") for c in range(200, 260) for t in range(4)]  # one conversation many times
+    rows += [(300, t, "user", f"turn {t % 3}") for t in range(60)]
+    assert trie_rows(spark, rows, chunk_turns) == plain_trie(rows)
+
+
+def test_trie_of_odd_rows(spark):
+    rows = [(None, 1, "user", "x"), (-3, None, None, None), (-3, None, None, None), (-3, 2, "user", "word " * 60_000), (41, 5, "a", "b"), (41, 5, "ab", ""), (40, 5, "ab", ""),
+            (41, None, "user", "\t\x0b \x1f\x85\u2003 y"), (7, 0, "", ""), (10**17, 1, "user", "x"), (0, 1, "user", "x"), (0, 1, "user", "x")]
+    assert trie_rows(spark, rows) == plain_trie(rows)
+    turnless = [(21, 1, "user", "x"), (22, 1, "user", "x"), (35, 1, "user", "x")]  # no conversation 20
+    assert trie_rows(spark, turnless) == plain_trie(turnless) and any(r[1] == 0 and r[7] != trie.EMPTY_SHA for r in plain_trie(turnless))
+    assert trie_rows(spark, []) == set()
+
+
+def test_long_member_lists_are_hashed_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(trie, "PIECE", 3)
+    rows = [(20 * c, 1, "user", "same") for c in range(100)]
+    for part in trie.chunk_nodes([r[0] for r in rows], [b"x" * 16] * 100, [[1]] * 100, 0, 0):
+        assert part["kind"] != "ends" or part["ids"].count(",") < 3
+    assert trie_rows(spark, rows, 30) == plain_trie(rows)
+
+
+def test_range_minimum():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 5, 37)
+    table = trie.RangeMinimum(values)
+    a = rng.integers(0, 37, 200)
+    b = np.minimum(a + rng.integers(0, 37, 200), 36)
+    assert table.least(a, b).tolist() == [values[x:y + 1].min() for x, y in zip(a, b)]
+    for at, depth in zip(range(37), rng.integers(0, 5, 37)):
+        right = next((i - 1 for i in range(at + 1, 37) if values[i] < depth), 36)
+        left = next((i for i in range(at, 0, -1) if values[i] < depth), 0)
+        assert table.right(np.array([at]), np.array([depth])) == right and table.left(np.array([at]), np.array([depth])) == left

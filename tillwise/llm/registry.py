@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import decontaminate, mixing, near_dup, pii, quality, repeats, secrets, sharding, spelling, tokens, topk, url_filter
+from tillwise.llm import decontaminate, mixing, near_dup, pii, quality, repeats, secrets, sharding, spelling, tokens, topk, trie, url_filter
 from tillwise.llm.common import span_digest
 
 # The rules of the URL query.
@@ -67,6 +67,10 @@ def op10_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.classes(_table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group(_table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
 
@@ -77,7 +81,7 @@ def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pii, op2_url_filter, op3_topk_search, op4_token_output, op5_mix_sources, op6_quality, op7_decontaminate,
-                                    op8_sharding, op9_secrets, op10_near_dup, op12_spelling_variants, op13_substring_dedup)}
+                                    op8_sharding, op9_secrets, op10_near_dup, op11_prefix_trie, op12_spelling_variants, op13_substring_dedup)}
 
 
 MIX_SQL = """
@@ -114,6 +118,34 @@ CRC_TABLE_SQL = """crc32 AS (
 CRC_SQL = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen({0})), lambda i: ('0x' || substr(hex({0}), 2 * i + 1, 2))::BIGINT)), "
            "lambda c, b: xor(c >> 8, crc32.t[(xor(c, b) & 255) + 1])), 4294967295)")
 
+TRIE_SQL = f"""
+WITH {CRC_TABLE_SQL},
+turns AS (
+  SELECT conv_id, text, digest, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos
+  FROM (SELECT conv_id, turn, coalesce(text, '') AS text, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+        FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (SELECT conv_id, {CRC_SQL.format("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc32),
+moved AS (
+  SELECT c.conv_id, t.pos, t.digest, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, t.pos, t.digest, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h),
+rows AS (
+  SELECT c.conv_id, coalesce(list(m.digest ORDER BY m.pos) FILTER (WHERE m.pos IS NOT NULL), []) AS seq,
+         coalesce(list(len(regexp_extract_all(m.text, '[^\\x20\\x09-\\x0D]+')) ORDER BY m.pos) FILTER (WHERE m.pos IS NOT NULL), []) AS words
+  FROM convs c LEFT JOIN moved m ON c.conv_id = m.conv_id GROUP BY c.conv_id),
+prefixes AS (SELECT conv_id, d, array_to_string(seq[1:d], '') AS prefix, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS w, d = len(seq) AS ends
+             FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM rows)),
+nodes AS (SELECT coalesce(prefix, '') AS prefix, d, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * any_value(w) AS own,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM prefixes GROUP BY ALL),
+children AS (SELECT left(prefix, 32 * (d - 1)) AS prefix, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+under AS (
+  SELECT left(n.prefix, 32 * n.up) AS prefix, sum(own) AS saved, count(*) FILTER (WHERE c.n IS NULL) AS leaves
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM nodes) n LEFT JOIN children c ON n.prefix = c.prefix GROUP BY 1)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n::BIGINT AS n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+       u.leaves::BIGINT AS n_leaves, u.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN under u ON n.prefix = u.prefix LEFT JOIN children c ON n.prefix = c.prefix
+LEFT JOIN nodes p ON n.d > 0 AND p.prefix = left(n.prefix, 32 * (n.d - 1))
+"""
+
 SPELLING_SQL = f"""
 WITH RECURSIVE {CRC_TABLE_SQL},
 runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
@@ -151,4 +183,4 @@ FROM docs d LEFT JOIN per p ON d.r = p.r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk_search": TOPK_SQL, "op5_mix_sources": MIX_SQL, "op12_spelling_variants": SPELLING_SQL, "op13_substring_dedup": REPEATS_SQL}
+    return {"op3_topk_search": TOPK_SQL, "op5_mix_sources": MIX_SQL, "op11_prefix_trie": TRIE_SQL, "op12_spelling_variants": SPELLING_SQL, "op13_substring_dedup": REPEATS_SQL}

@@ -5,27 +5,6 @@ from __future__ import annotations
 import re
 
 # name -> SQL; names used inside another CTE are pulled in automatically
-# The columns of the views.
-VIEW_COLUMNS = {
-    "dim_product": "sku_id spu_id category_id category_name brand product_name sku_name spec price cost supplier listing_date price_band product_status",
-    "dim_user": "user_id name province city register_channel segment gender birth_year member_level status register_date",
-    "dim_date": "date_id year month year_month weekday is_weekend",
-    "fact_order": "order_id user_id campaign_id order_date channel status subtotal discount_amount shipping_fee total_amount paid_amount",
-    "fact_order_item": "order_item_id order_id user_id campaign_id order_date sku_id spu_id quantity unit_price unit_cost discount_amount line_amount gross_profit",
-    "fact_traffic": "event_id user_id session_id event_type page channel device campaign_id sku_id event_date created_at",
-    "fact_coupon_use": "user_coupon_id user_id coupon_id campaign_id order_id issued_date used_date threshold discount is_used",
-    "fact_refund": "refund_id order_id user_id campaign_id refund_date amount reason status",
-    "fact_fulfillment": "shipment_id order_id user_id order_date shipped_date delivered_date carrier province promised_days delivery_days is_late status",
-    "fact_inventory_movement": "movement_id sku_id movement_type quantity reason related_order_id movement_date created_at",
-    "fact_product_review": "review_id order_id user_id sku_id rating sentiment content_tag review_date",
-}
-
-
-def pick(view: str, source: str) -> str:
-    """The columns of a view from a source."""
-    return f"SELECT {', '.join(VIEW_COLUMNS[view].split())} FROM {source}"
-
-
 CTES: dict[str, str] = {
     "src_orders": """
         SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 'organic' WHEN '2-HIGH' THEN 'search'
@@ -146,41 +125,81 @@ CTES: dict[str, str] = {
     "s_cart_items": """
         SELECT l_orderkey || '-' || l_linenumber AS cart_item_id, l_orderkey AS cart_id, l_partkey AS sku_id,
                CAST(l_quantity AS BIGINT) AS quantity, l_shipdate AS created_at FROM lineitem""",
-    # ---- views: columns from VIEW_COLUMNS, orders joined through one CTE of their heads ----
-    "order_heads": "SELECT order_id, user_id, campaign_id, created_at::DATE AS order_date FROM s_orders",
-    "dim_product": pick("dim_product", """(
-        SELECT *, ['low', 'mid', 'high'][1 + (price >= 930)::INTEGER + (price >= 970)::INTEGER] AS price_band FROM s_sku)
-        JOIN (SELECT spu_id, category_id, brand, name AS product_name, status AS product_status FROM s_spu) USING (spu_id)
-        JOIN (SELECT category_id, name AS category_name FROM s_categories) USING (category_id)"""),
-    "dim_user": pick("dim_user", "(SELECT *, created_at::DATE AS register_date FROM s_users)"),
-    "dim_campaign": "FROM s_campaigns",
-    "dim_date": pick("dim_date", """(
-        SELECT day AS date_id, year(day)::INTEGER AS year, month(day)::INTEGER AS month, strftime(day, '%Y-%m') AS year_month,
-               dayofweek(day)::INTEGER AS weekday, (isodow(day) > 5)::INTEGER AS is_weekend
-        FROM (SELECT DISTINCT day FROM (""" + " UNION ALL ".join(
-            f"SELECT {c}::DATE AS day FROM {t}" for t, c in (("s_orders", "created_at"), ("s_page_events", "created_at"),
-                                                             ("s_refunds", "created_at"), ("s_ads_spend", "spend_date"))) + """) WHERE day IS NOT NULL))"""),
-    "fact_order": pick("fact_order", "(SELECT *, created_at::DATE AS order_date FROM s_orders)"),
-    "fact_order_item": pick("fact_order_item", """(
-        SELECT *, quantity * (unit_price - unit_cost) - discount_amount AS gross_profit FROM s_order_items)
-        JOIN order_heads USING (order_id)"""),
-    "fact_traffic": pick("fact_traffic", "(SELECT *, created_at::DATE AS event_date FROM s_page_events)"),
-    "fact_ads_spend": "FROM s_ads_spend",
-    "fact_coupon_use": pick("fact_coupon_use", """(
-        SELECT *, issued_at::DATE AS issued_date, used_at::DATE AS used_date, (used_at IS NOT NULL)::INTEGER AS is_used FROM s_user_coupons)
-        JOIN (SELECT coupon_id, campaign_id, threshold, discount FROM s_coupons) USING (coupon_id)"""),
-    "fact_refund": pick("fact_refund", "(SELECT *, created_at::DATE AS refund_date FROM s_refunds) JOIN order_heads USING (order_id)"),
-    "fact_fulfillment": pick("fact_fulfillment", """(
-        SELECT *, shipped_at::DATE AS shipped_date, delivered_at::DATE AS delivered_date,
-               coalesce((delivery_days > promised_days)::INTEGER, 0) AS is_late FROM s_shipments)
-        JOIN order_heads USING (order_id)"""),
-    "fact_inventory_movement": pick("fact_inventory_movement", "(SELECT *, created_at::DATE AS movement_date FROM s_inventory_movements)"),
-    "fact_product_review": pick("fact_product_review", "(SELECT *, created_at AS review_date FROM s_product_reviews)"),
+    # ---- views, from the driver's tables ----
+    "dim_product": """
+        SELECT p_partkey AS sku_id, p_brand || '/' || p_type AS spu_id, lower(p_type) AS category_id, p_type AS category_name,
+               p_brand AS brand, p_brand || ' ' || p_type AS product_name, p_name AS sku_name, CAST(p_size AS VARCHAR) AS spec,
+               p_retailprice AS price, CASE WHEN p_size >= 48 THEN p_retailprice * 1.1 ELSE p_retailprice * 0.6 END AS cost,
+               'supplier-' || (p_size % 10) AS supplier, CAST(NULL AS DATE) AS listing_date,
+               CASE WHEN p_retailprice < 930 THEN 'low' WHEN p_retailprice < 970 THEN 'mid' ELSE 'high' END AS price_band,
+               'on_sale' AS product_status
+        FROM part""",
+    "dim_user": """
+        SELECT c_custkey AS user_id, c_name AS name, n_name AS province, r_name AS city, lower(c_mktsegment) AS register_channel,
+               CASE WHEN c_acctbal < 0 THEN 'at_risk' WHEN c_acctbal < 5000 THEN 'regular' ELSE 'loyal' END AS segment,
+               CASE WHEN c_acctbal > 9000 THEN NULL WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+               CASE WHEN c_acctbal BETWEEN 0 AND 500 THEN NULL ELSE CAST(1950 + c_custkey % 50 AS INTEGER) END AS birth_year,
+               c_mktsegment AS member_level, 'active' AS status,
+               (SELECT CAST(min(o_orderdate) AS DATE) FROM orders WHERE o_custkey = c_custkey) AS register_date
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "dim_campaign": "SELECT * FROM s_campaigns",
+    "dim_date": """
+        SELECT d AS date_id, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, strftime(d, '%Y-%m') AS year_month,
+               CAST(dayofweek(d) AS INTEGER) AS weekday, CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend
+        FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(ts AS DATE) FROM events
+              UNION SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)
+        WHERE d IS NOT NULL""",
+    "fact_order": """
+        SELECT o_orderkey AS order_id, o_custkey AS user_id, campaign_id, CAST(o_orderdate AS DATE) AS order_date, channel,
+               CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'paid' WHEN 'P' THEN 'refunded' END AS status,
+               o_totalprice + CASE WHEN campaign_id IS NOT NULL THEN o_totalprice * 0.05 ELSE 0 END
+                 - CASE WHEN o_totalprice < 20000 THEN 8 ELSE 0 END AS subtotal,
+               CAST(CASE WHEN campaign_id IS NOT NULL THEN o_totalprice * 0.05 ELSE 0 END AS DOUBLE) AS discount_amount,
+               CAST(CASE WHEN o_totalprice < 20000 THEN 8 ELSE 0 END AS DOUBLE) AS shipping_fee,
+               o_totalprice AS total_amount, o_totalprice AS paid_amount
+        FROM src_orders""",
+    "fact_order_item": """
+        SELECT l_orderkey || '-' || l_linenumber AS order_item_id, l_orderkey AS order_id, o_custkey AS user_id, campaign_id,
+               CAST(o_orderdate AS DATE) AS order_date, l_partkey AS sku_id, CAST(NULL AS VARCHAR) AS spu_id, CAST(l_quantity AS BIGINT) AS quantity,
+               l_extendedprice / l_quantity AS unit_price, (l_extendedprice / l_quantity) * (l_tax * 8 + 0.5) AS unit_cost,
+               l_extendedprice * l_discount AS discount_amount, l_extendedprice * (1 - l_discount) AS line_amount,
+               CAST(l_quantity AS BIGINT) * (l_extendedprice / l_quantity - (l_extendedprice / l_quantity) * (l_tax * 8 + 0.5))
+                 - l_extendedprice * l_discount AS gross_profit
+        FROM lineitem JOIN src_orders ON l_orderkey = o_orderkey""",
+    "fact_traffic": """
+        SELECT event_id, user_id, session_id, event_type, page, channel, device, campaign_id, sku_id,
+               CAST(created_at AS DATE) AS event_date, created_at FROM s_page_events""",
+    "fact_ads_spend": "SELECT * FROM s_ads_spend",
+    "fact_coupon_use": """
+        SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS user_coupon_id, o_custkey AS user_id,
+               CAST(round(l_discount * 100) AS BIGINT) AS coupon_id, CAST(NULL AS VARCHAR) AS campaign_id,
+               CASE WHEN l_returnflag <> 'N' THEN l_orderkey END AS order_id, CAST(o_orderdate AS DATE) AS issued_date,
+               CASE WHEN l_returnflag <> 'N' THEN CAST(o_orderdate AS DATE) END AS used_date,
+               CAST(CAST(round(l_discount * 100) AS BIGINT) * 1000 AS DOUBLE) AS threshold,
+               CAST(CAST(round(l_discount * 100) AS BIGINT) AS DOUBLE) AS discount, CASE WHEN l_returnflag <> 'N' THEN 1 ELSE 0 END AS is_used
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_discount > 0""",
+    "fact_refund": """
+        SELECT 'refund-' || l_orderkey AS refund_id, l_orderkey AS order_id, o_custkey AS user_id, campaign_id,
+               CAST(max(l_shipdate) AS DATE) AS refund_date, sum(l_extendedprice * (1 - l_discount)) AS amount, o_orderpriority AS reason,
+               CASE WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'approved' END AS status
+        FROM lineitem JOIN src_orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'
+        GROUP BY l_orderkey, o_custkey, campaign_id, o_orderpriority, o_orderstatus""",
+    "fact_fulfillment": """
+        SELECT shipment_id, s_shipments.order_id, o_custkey AS user_id, CAST(o_orderdate AS DATE) AS order_date,
+               CAST(shipped_at AS DATE) AS shipped_date, CAST(delivered_at AS DATE) AS delivered_date, carrier, province, promised_days,
+               delivery_days, CASE WHEN delivery_days > promised_days THEN 1 ELSE 0 END AS is_late, status
+        FROM s_shipments JOIN orders ON s_shipments.order_id = o_orderkey""",
+    "fact_inventory_movement": """
+        SELECT movement_id, sku_id, movement_type, quantity, reason, related_order_id, CAST(created_at AS DATE) AS movement_date, created_at
+        FROM s_inventory_movements""",
+    "fact_product_review": """
+        SELECT review_id, order_id, user_id, sku_id, rating, sentiment, content_tag, created_at AS review_date FROM s_product_reviews""",
     "daily_business_summary": """
-        FROM (FROM fact_order WHERE status = ANY(['paid', 'completed']))
-        SELECT order_date AS summary_date, channel, count(DISTINCT order_id) AS orders, count(DISTINCT user_id) AS buyers,
-               round(sum(paid_amount), 2) AS gmv, round(sum(discount_amount), 2) AS discount_amount, round(avg(paid_amount), 2) AS avg_order_value
-        GROUP BY ALL""",
+        SELECT CAST(o_orderdate AS DATE) AS summary_date, channel, count(*) AS orders, count(DISTINCT o_custkey) AS buyers,
+               round(sum(o_totalprice), 2) AS gmv,
+               round(sum(CASE WHEN campaign_id IS NOT NULL THEN o_totalprice * 0.05 ELSE 0 END), 2) AS discount_amount,
+               round(avg(o_totalprice), 2) AS avg_order_value
+        FROM src_orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2""",
 }
 
 

@@ -172,6 +172,48 @@ def test_classes_of_documents(spark):
     assert got == plain_classes(docs) and len(set(got.values())) < len(got)
 
 
+def linked_pairs(docs, asked):
+    """Pairs (asked, other) of similarity 0.8 or more, by an index of all k-mers."""
+    seqs = {i: near_dup.kmers(t or "") for i, t in docs}
+    index = defaultdict(list)
+    for i, x in seqs.items():
+        for k in x.tolist():
+            index[k].append(i)
+    for i in asked:
+        common = Counter(j for k in seqs[i].tolist() for j in index[k] if j != i)
+        for j, c in common.items():
+            if c / (len(seqs[i]) + len(seqs[j]) - c) >= 0.8 and near_dup.similarity(seqs[i], seqs[j]) >= 0.8:
+                yield i, j
+
+
+def test_recall_over_all_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r.class_id for r in registry.op10_near_dup(spark, folder).collect()}
+    pairs = list(linked_pairs(docs, [i for i, _ in docs if i % 10 == 0]))
+    assert len(pairs) > 300 and sum(got[i] == got[j] for i, j in pairs) >= 0.99 * len(pairs)
+
+
+def test_group_of_near_copies_below_the_threshold(spark):
+    """Texts that differ from one original by edits of their own, most of them too many: no link may be lost between them."""
+    rng = np.random.default_rng(4)
+    origin = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        w = list(origin)
+        for at in rng.choice(300, int(rng.integers(2, 14)), replace=False):
+            w[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, " ".join([*origin[:200], *(f"tail{i // 3}x{j}" for j in range(120 + i % 3))])) for i in range(30)]
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    pairs = list(linked_pairs(rows, [i for i, _ in rows]))
+    root = {i: i for i, _ in rows}
+    for _ in root:
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    assert got == root and len(set(root.values())) > 20
+
+
 def test_classes_of_odd_rows(spark, odd_docs, no_docs):
     base = [f"w{i}" for i in range(100)]
     edit = lambda *at: " ".join("other" if i in at else w for i, w in enumerate(base))

@@ -36,13 +36,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_PER_BATCH, size: int = BYTES_PER_BATCH) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches (64 MB at most by Spark's own setting) in parts that bound what a worker holds as Python objects."""
     for batch in batches:
         at = 0
         while at < batch.num_rows:
-            n = min(ROWS_PER_BATCH, batch.num_rows - at)
-            while n > 1 and batch.slice(at, n).nbytes > BYTES_PER_BATCH:
+            n = min(rows, batch.num_rows - at)
+            while n > 1 and batch.slice(at, n).nbytes > size:
                 n //= 2
             yield batch.slice(at, n)
             at += n

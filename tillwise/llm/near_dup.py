@@ -13,14 +13,13 @@ from collections import OrderedDict
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.llm.common import map_rows, stored, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 2   # at similarity 0.8 a sketch agrees with chance 0.64 or so; one of 20 bands of two with 0.99997
-WHOLE = 0.4           # share of a text's k-mers outside its hub up to which all of them are kept for the cheap bound
 CELLS = 1 << 20       # hashed k-mers held at once while a text is sketched
 _rng = np.random.default_rng(20)
 _MULTIPLY = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -112,24 +111,22 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, found: t
 def differences(hub: np.ndarray, x: np.ndarray, least: float, found: tuple[np.ndarray, np.ndarray]) -> dict:
     """What a text has that its hub lacks, as far as it decides which other texts of the hub can be like it.
 
-    Write D for the text's k-mers outside the hub, M for the hub's outside the text. Texts x and y of one hub with
+    Write D for the text's k-mers outside the hub (``d``), M for the hub's outside the text. Texts x and y of one hub with
     similarity s or more share at least |D| - (1 - s)|x| k-mers of D, so that one of the first (1 - s)|x| + 1 in any common
-    order is shared (``d``). If they share none, then with gap = s |hub or x| - |hub and x| > 0 (x is not linked to the hub)
-    it follows that y is shorter than the hub by gap / s or more, and that they lack gap / s and |M of y| / (1 + s) common
-    k-mers: ``lacks_x`` and ``lacks_y`` are the first k-mers of M of which one is then shared. ``whole`` is all of D where it
-    is a small part of the text: then two texts share at most min(``common``) + |D of x and of y| k-mers.
+    order is shared (``take``). If they share none, D is at most (1 - s)|x| large, and with gap = s |hub or x| - |hub and x| > 0
+    (x is not linked to the hub) it follows that y is shorter than the hub by gap / s or more, and that they lack gap / s and
+    |M of y| / (1 + s) common k-mers: ``lacks_x`` and ``lacks_y`` are the first k-mers of M of which one is then shared.
     """
     at_hub, at_x = found
     own, lost = np.ones(len(x), bool), np.ones(len(hub), bool)
     own[at_x], lost[at_hub] = False, False
     d, m = np.sort(x[own].astype(np.int64)), np.sort(hub[lost].astype(np.int64))
     gap = least * (len(hub) + len(d)) - len(at_x)
-    share = max(1, math.ceil(len(d) - (1 - least) * len(x) - 1e-9))
+    share = math.ceil(len(d) - (1 - least) * len(x) - 1e-9)
     share_x = max(1, math.ceil(gap / least - 1e-9))
-    return {"d": d[:len(d) - share + 1].tolist() if len(d) else [], "common": len(at_x), "gap": float(gap),
-            "whole": d.tolist() if len(d) <= WHOLE * len(x) else None, "shorter": len(hub) - len(x),
-            "lacks_x": m[:max(0, len(m) - share_x + 1)].tolist() if gap > 0 else [],
-            "lacks_y": m[:len(m) - math.ceil(len(m) / (1 + least) - 1e-9) + 1].tolist() if len(hub) > len(x) and len(m) else []}
+    return {"d": d.tolist(), "take": len(d) - max(1, share) + 1 if len(d) else 0, "gap": float(gap), "shorter": len(hub) - len(x),
+            "lacks_x": m[:max(0, len(m) - share_x + 1)].tolist() if gap > 0 and share < 1 else [],
+            "lacks_y": m[:len(m) - math.ceil(len(m) / (1 + least) - 1e-9) + 1].tolist() if len(hub) > len(x) and len(m) and share < 1 else []}
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,7 +179,7 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
 def compare_with_hubs(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """For every pair (hub ``a``, text ``b``): whether they are ``linked``, the k-mers of ``b``, and how ``b`` differs."""
     def run(c: list[list]) -> dict[str, list]:
-        recent, out = _Recent(), {k: [] for k in ("a", "b", "linked", "n", "d", "common", "whole", "gap", "shorter", "lacks_x", "lacks_y")}
+        recent, out = _Recent(), {k: [] for k in ("a", "b", "linked", "n", "d", "take", "gap", "shorter", "lacks_x", "lacks_y")}
         for x, y, s, t in zip(*c):
             hub, own = recent.of(x, s), kmers(t or "")
             found = _matches(hub, own)
@@ -191,9 +188,8 @@ def compare_with_hubs(pairs: DataFrame, texts: DataFrame, least: float = SIMILAR
                 out[k].append(v)
         return out
 
-    return map_rows(_with_texts(pairs, texts), run, "a long, b long, linked boolean, n int, d array<long>, common int, "
-                    "whole array<long>, gap double, shorter int, "
-                    "lacks_x array<long>, lacks_y array<long>")
+    return map_rows(_with_texts(pairs, texts), run, "a long, b long, linked boolean, n int, d array<long>, take int, "
+                    "gap double, shorter int, lacks_x array<long>, lacks_y array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -272,27 +268,36 @@ def _rows_apart(compared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """``roots`` after the links between texts of one hub that lie in different components."""
-    extra = stored(_several_roots(apart.select(F.explode("d").alias("kmer"), "a", F.col("b").alias("id"), "n", "root"), "a", "kmer"), "extra-kmers")
-    second = extra.groupBy("a", "kmer").agg(F.min(F.struct("id", "n", "root")).alias("hub"))
-    pairs = extra.join(second, ["a", "kmer"]).where((F.col("root") != F.col("hub.root")) & _near_sizes("n", "hub.n", least)).select(
-        F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+    """``roots`` after the links between texts of one hub that lie in different components.
+
+    The k-mers that a hub lacks are ordered by how many of its texts have them. Those of one text come first, and they can't
+    be shared; where they fill the prefix, the text has no partner. ``only`` counts them: two texts with similarity s match
+    min(n - only) k-mers at most, and leave both counts unmatched, so the sum of the two is at most (1 / s - 1) of that.
+    """
+    mine = apart.select("a", F.col("b").alias("id"), "n", "root", "take", "d")
+    shared = mine.select("a", F.explode("d").alias("kmer")).groupBy("a", "kmer").agg(F.count("*").alias("texts")).where("texts > 1")
+    per = mine.select("a", "id", F.explode("d").alias("kmer")).join(shared, ["a", "kmer"]).groupBy("a", "id").agg(
+        F.sort_array(F.collect_list(F.struct("texts", "kmer"))).alias("order"))  # as many as the text has
+    mine = mine.join(per, ["a", "id"], "left").withColumn("only", F.size("d") - F.when(F.col("order").isNull(), 0).otherwise(F.size("order"))).where(
+        F.col("only") <= (1 / least - 1) * (F.col("n") - F.col("only")) + 1e-9)
+    mine = stored(mine.withColumn("first", F.when(F.col("take") > F.col("only"), F.slice("order", F.lit(1), F.col("take") - F.col("only")))).select(
+        "a", "id", "n", "root", "only", F.transform("first", lambda x: x["kmer"]).alias("first")), "texts-apart")
+    extra = stored(_several_roots(mine.select(F.explode("first").alias("kmer"), "a", "id", "n", "only", "root"), "a", "kmer"), "extra-kmers")
+    second = extra.groupBy("a", "kmer").agg(F.min(F.struct("only", "id", "n", "root")).alias("hub"))
+    x, y = extra.alias("x"), second.select("a", "kmer", "hub.*").alias("y")
+    pairs = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("x.root") != F.col("y.root")) & _can_match(least)).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     pairs = stored(pairs.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "second-pairs")
     roots = stored(joined_by(roots, verify(pairs, texts, least)), "second-roots")
     renewed = extra.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    renewed = stored(_several_roots(renewed.select("kmer", "a", "id", "n", "root"), "a", "kmer"), "extra-kmers-left")
-    keep = (F.col("x.root") != F.col("y.root")) & _near_sizes("x.n", "y.n", least)
-    # The lists of k-mers join only what is left, and each once before the rows meet.
-    detailed = renewed.join(apart.select("a", F.col("b").alias("id"), "common", "whole"), ["a", "id"])
-    x, y = detailed.alias("x"), detailed.alias("y")
-    shared = F.array_intersect("x.whole", "y.whole")
-    needed = F.lit(least / (1 + least)) * (F.col("x.n") + F.col("y.n")) - F.least("x.common", "y.common") - 1e-9
-    enough = F.coalesce((F.array_min(shared) == F.col("x.kmer")) & (F.size(shared) >= needed), F.lit(True))  # null: one is not kept whole
-    sharing = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("x.id") < F.col("y.id")) & keep & enough)
-    lacking = apart.drop("root").join(roots, F.col("b") == F.col("id"), "left").withColumn("root", F.coalesce("root", "b"))
-    x = lacking.select("a", F.col("b").alias("id"), "n", "root", "gap", F.explode("lacks_x").alias("kmer")).alias("x")
-    y = lacking.select("a", F.col("b").alias("id"), "n", "root", "shorter", F.explode("lacks_y").alias("kmer")).alias("y")
-    missing = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("y.shorter") >= F.col("x.gap") / least - 1e-9) & keep)
+    renewed = stored(_several_roots(renewed.select("kmer", "a", "id", "n", "only", "root"), "a", "kmer"), "extra-kmers-left")
+    keep = (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("x.root") != F.col("y.root")) & _can_match(least)
+    sharing = renewed.alias("x").join(renewed.alias("y"), keep & (F.col("x.id") < F.col("y.id")))
+    lacking = apart.drop("n", "root", "d").withColumnRenamed("b", "id").join(mine.select("a", "id", "n", "only"), ["a", "id"]).join(
+        roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    x = lacking.select("a", "id", "n", "only", "root", "gap", F.explode("lacks_x").alias("kmer")).alias("x")
+    y = lacking.select("a", "id", "n", "only", "root", "shorter", F.explode("lacks_y").alias("kmer")).alias("y")
+    missing = x.join(y, keep & (F.col("y.shorter") >= F.col("x.gap") / least - 1e-9))
     left = sharing.select("x.id", F.col("y.id").alias("other")).unionByName(missing.select("x.id", F.col("y.id").alias("other")))
     left = left.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct().join(
         pairs.unionByName(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))), ["a", "b"], "left_anti")
@@ -305,6 +310,8 @@ def _several_roots(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.join(mixed, list(keys))
 
 
-def _near_sizes(a: str, b: str, least: float):
-    """Sizes between which the similarity can reach ``least``."""
-    return F.least(F.col(a), F.col(b)) >= F.lit(least) * F.greatest(F.col(a), F.col(b)) - 1e-9
+def _can_match(least: float) -> Column:
+    """Whether sizes and unshared k-mers let two texts (x, y) reach the similarity."""
+    sizes = F.least("x.n", "y.n") >= F.lit(least) * F.greatest("x.n", "y.n") - 1e-9
+    most = F.least(F.col("x.n") - F.col("x.only"), F.col("y.n") - F.col("y.only"))
+    return sizes & (F.col("x.only") + F.col("y.only") <= (1 / least - 1) * most + 1e-9)

@@ -6,18 +6,22 @@ reader that wants a few documents or only the metadata columns reads little of a
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tillwise.llm.common import ROWS_PER_BATCH, new_path, stored
+from tillwise.llm.common import new_path, slices, stored
 
 END_ID = 2
-KEPT_PIECES = 500_000    # pieces of text whose ids a Python worker remembers (about 120 MB); more only costs time
+KEPT_PIECES = 500_000    # pieces of text that a Python worker remembers at most (about 80 MB); more only costs time
+BATCH = (10_000, 16 << 20)  # rows and bytes of text that are encoded together: a piece is looked up once for them
+TOGETHER = 500           # new words that are given to the tokenizer as one text
 PART_BYTES = 32 << 20    # text bytes aimed at per output file
 ROW_GROUP = 16 << 20
 PAGE_ROWS = 256          # documents per page: what a selective read has to decode
@@ -26,52 +30,110 @@ PAGE_ROWS = 256          # documents per page: what a selective read has to deco
 # token there, so pieces can be encoded on their own.
 _SPACES = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
 _CUT = re.compile(rf"\x20(?=[^{_SPACES}])")
-_UNSURE = re.compile(rf"\x20(?:[{_SPACES}]|$)")
+_UNSURE = re.sub(r"\\u(....)", r"\\x{\1}", rf"\x20(?:[{_SPACES}]|$)")  # as Arrow's engine writes it
 _LETTERS_MARKS = re.compile(r"([^\W\d_]+)([^\w\s']+)")
 _LINES = re.compile(r"(\S+)\n(\S+)")
 _encoders: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """A tokenizer that remembers the ids of the pieces it has met. ``ids`` returns little-endian unsigned 32-bit ids."""
+    """A tokenizer that remembers the ids of frequent pieces. Ids are little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.known: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space, which this kind of vocabulary writes as the letter below
+        self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
+        """One text, also one whose spaces don't all end a piece."""
         if any(s in text for s in self.special):
             return self.whole(text)
-        first, *rest = text.split(" ") if _UNSURE.search(text) is None else _CUT.split(text)
-        known, out = self.known, [self.whole(first)]
-        for piece in rest:
-            out.append(known.get(piece) or self._spaced(piece))
-        return b"".join(out)
-
-    def _spaced(self, piece: str) -> bytes:
-        """Ids of a piece with the space before it. A run of letters, a run of marks after it and a single line break are
-        tokenized apart by the vocabulary's pattern, so the parts are looked up by themselves."""
-        if m := _LETTERS_MARKS.fullmatch(piece):
-            got = (self.known.get(m[1]) or self._spaced(m[1])) + self._bare(m[2])
-        elif m := _LINES.fullmatch(piece):
-            got = (self.known.get(m[1]) or self._spaced(m[1])) + self._bare("\n") + self._bare(m[2])
-        else:
-            got = self.whole(" " + piece)
-        return self._keep(self.known, piece, got)
+        first, *rest = _CUT.split(text)
+        return b"".join([self.whole(first), *(self.whole(" " + piece) for piece in rest)])
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of every text. Arrow splits the texts and numbers the pieces; each distinct piece is looked up once a batch."""
+        odd = pc.match_substring_regex(texts, _UNSURE).to_numpy(zero_copy_only=False)
+        for s in self.special:
+            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        bounds = lists.offsets.to_numpy()
+        pieces = lists.values.slice(bounds[0], bounds[-1] - bounds[0])
+        bounds = bounds - bounds[0]
+        numbered, firsts = pieces.dictionary_encode(), pieces.take(pa.array(bounds[:-1])).dictionary_encode()
+        n = len(numbered.dictionary)
+        places = np.array(numbered.indices)
+        places[bounds[:-1]] = n + np.array(firsts.indices)
+        found = self._spaced(numbered.dictionary.to_pylist(), np.bincount(places, minlength=n)[:n])
+        found += [self._bare(p) for p in firsts.dictionary.to_pylist()]
+        ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4))).astype(np.int32)
+        taken = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<u4"))).take(pa.array(places))
+        at = taken.offsets.to_numpy()[bounds] if len(bounds) > 1 else bounds
+        flat = taken.values.to_numpy()
+        plain = iter([flat[a:b] for a, b in zip(at, at[1:])])
+        return [np.frombuffer(self.ids(t.as_py()), "<u4") if o else next(plain) for t, o in zip(texts, odd)]
+
+    def _spaced(self, pieces: list[str], times: np.ndarray) -> list[bytes]:
+        """Ids of each piece with the space before it, empty for those met no times. A run of letters, a run of marks after it
+        and a single line break are tokenized apart by the vocabulary's pattern, so new pieces are put together from parts."""
+        found = list(map(self.known.get, pieces))
+        parts = {}
+        for i, (ids, n) in enumerate(zip(found, times.tolist())):
+            if ids is None and n:
+                p = pieces[i]
+                m = None if p.isalpha() else _LETTERS_MARKS.fullmatch(p)
+                if m is not None:
+                    parts[i] = m[1], m[2], ""
+                elif "\n" in p and (m := _LINES.fullmatch(p)):
+                    left = _LETTERS_MARKS.fullmatch(m[1])
+                    parts[i] = (left[1], left[2], m[2]) if left else (m[1], "", m[2])
+                else:
+                    parts[i] = p, "", ""
+        new = self._together(list({p for p, _, _ in parts.values()} - self.known.keys()))
+        for i, (head, marks, line) in parts.items():
+            ids = new.get(head) or self.known[head]
+            if marks:
+                ids += self._bare(marks)
+            if line:
+                ids += self._bare("\n") + self._bare(line)
+            found[i] = ids
+        if len(self.known) > KEPT_PIECES:
+            self.known.clear()
+        for i in np.flatnonzero(times > 2).tolist():
+            self.known[pieces[i]] = found[i]
+        return [f or b"" for f in found]
+
+    def _together(self, pieces: list[str]) -> dict[str, bytes]:
+        """New pieces, many as one text: none holds a space, so each begins at the next id that begins with one."""
+        out = {}
+        groups = [pieces[at:at + TOGETHER] for at in range(0, len(pieces), TOGETHER)]
+        for some, got in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.asarray(got.ids, "<u4")
+            start = np.flatnonzero(self.begins[ids]) * 4
+            if len(start) == len(some):
+                ids = ids.tobytes()
+                out.update((p, ids[a:b]) for p, a, b in zip(some, start.tolist(), [*start[1:].tolist(), len(ids)]))
+            else:
+                out.update((p, self.whole(" " + p)) for p in some)
+        return out
 
     def _bare(self, piece: str) -> bytes:
-        return self.bare.get(piece) or self._keep(self.bare, piece, self.whole(piece))
-
-    def _keep(self, where: dict[str, bytes], piece: str, got: bytes) -> bytes:
-        if len(self.known) + len(self.bare) < KEPT_PIECES and len(piece) < 24:
-            where[piece] = got
+        if (got := self.bare.get(piece)) is None:
+            if len(self.bare) > KEPT_PIECES:
+                self.bare.clear()
+            got = self.whole(piece)
+            if len(piece) < 24:
+                self.bare[piece] = got
         return got
 
 
@@ -83,17 +145,16 @@ def encoder(path: str) -> Encoder:
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``tokens`` (with the end id) of rows with ``doc_id`` and ``text``; null text counts as empty."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
-    end = np.asarray([end_id], "<u4").tobytes()
+    end = np.asarray([end_id], "<u4")
     kind = pa.list_(pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for batch in batches:
-            rows = [enc.ids(t or "") + end for t in batch.column("text").to_pylist()]
-            counts = np.asarray([len(r) // 4 for r in rows], np.int64)
+        for batch in slices(batches, *BATCH):
+            rows = enc.batch(pc.fill_null(batch.column("text"), ""))
+            counts = np.asarray([len(r) + 1 for r in rows], np.int64)
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            values = np.frombuffer(b"".join(rows), "<i4")
+            values = np.concatenate([x for r in rows for x in (r, end)]).view("<i4")
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)).cast(kind)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), lists], names=["doc_id", "n_tokens", "tokens"])
 
@@ -132,14 +193,13 @@ def index(spark, path: str) -> DataFrame:
     Offsets are summed per file, then over files (one row each), then within each file.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column("tokens")
             values, offsets = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<i4"), lists.offsets.to_numpy()
             crc = [zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("doc_id"), batch.column("n_tokens"), pa.array(crc, pa.int64()),
                                               pa.array(np.diff(offsets).astype(np.int64))], names=["part", "doc_id", "n_tokens", "ids_crc32", "n_ids"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     # One row a document without its ids; n_ids is the true length of the list.
     rows = stored(read(spark, path).mapInArrow(run, "part int, doc_id long, n_tokens long, ids_crc32 long, n_ids long"), "token-index")
     before = rows.groupBy("part").agg(F.sum("n_ids").alias("ids")).withColumn(

@@ -47,36 +47,60 @@ def test_discriminant_is_the_textbook_one():
 
 
 def plain_leaks(docs, items):
-    """Windows as tuples, alignments one by one."""
-    out = {}
-    index = defaultdict(list)
-    count = {}
+    """Windows as tuples, alignment by alignment: ``matched`` per document and item, by the rules of the module's first lines."""
+    lower = lambda keys, values: [k if v is None else v.lower() for k, v in zip(keys, values)]
+    held = lambda values: tuple(v for v in values if v is not None)
+    by_template, by_words, total, short = defaultdict(list), defaultdict(list), {}, defaultdict(list)
     for item, text in items:
         keys, values = decontaminate.template(text)
-        width = min(len(keys), decontaminate.WIDTH)
-        if width < decontaminate.MIN_WIDTH:
+        n, said = len(keys), lower(keys, values)
+        if n < 3 or n == 3 and decontaminate.NUMBER not in keys:
+            if n:
+                short[tuple(said)].append(item)
             continue
-        starts = [i for i in range(len(keys) - width + 1) if 2 * sum(v is None for v in values[i:i + width]) >= width]
-        count[item] = len(starts)
+        width = min(n, decontaminate.WIDTH)
+        starts = range(n - width + 1)
+        templated = {i for i in starts if n >= decontaminate.MIN_WIDTH and 2 * values[i:i + width].count(None) >= width}
+        total[item] = len(templated), len(starts)
         for i in starts:
-            index[tuple(keys[i:i + width])].append((item, i, [v for v in values[i:i + width] if v is not None]))
+            entry = item, i, held(values[i:i + width]), i in templated
+            by_words[tuple(said[i:i + width])].append(entry)
+            if i in templated:
+                by_template[tuple(keys[i:i + width])].append((*entry, None))
+        if 0 in templated and values[0] is None and len(keys[0]) > 1:
+            by_template[(decontaminate.NAME, *keys[1:width])].append((item, 0, held(values[:width]), True, keys[0]))
+    widths = {len(k) for k in by_words}
+    found = defaultdict(set)  # (doc, item, shift) -> (pos, values of the document, values of the item, templated)
+    out = {}
     for doc, text in docs:
         keys, values = decontaminate.template(text)
-        lines = defaultdict(set)
-        slots = defaultdict(lambda: defaultdict(set))
-        for width in {len(k) for k in index}:
+        said = lower(keys, values)
+        for item in short.get(tuple(said), ()):
+            out[doc, item] = 1
+        for width in widths:
             for i in range(len(keys) - width + 1):
-                for item, j, theirs in index.get(tuple(keys[i:i + width]), ()):
-                    lines[item, i - j].add(j)
-                    for t, v in zip(theirs, [v for v in values[i:i + width] if v is not None]):
-                        slots[item, i - j][t].add(v)
-        good = defaultdict(set)
-        for line, found in lines.items():
-            if all(len(v) == 1 for v in slots[line].values()):
-                good[line[0]] |= found
-        for item, found in good.items():
-            if len(found) >= min(decontaminate.MIN_WINDOWS, count[item]):
-                out[doc, item] = len(found)
+                for item, j, theirs, templated in by_words.get(tuple(said[i:i + width]), ()):
+                    found[doc, item, i - j].add((j, theirs, theirs, templated))
+                plain = values[i:i + width].count(None) + (keys[i] is decontaminate.NAME)
+                if 2 * plain >= width:
+                    for item, j, theirs, templated, lead in by_template.get(tuple(keys[i:i + width]), ()):
+                        mine = held(values[i:i + width])
+                        if lead is None or mine[0].lower() == lead:
+                            found[doc, item, i - j].add((j, mine[lead is not None:], theirs, templated))
+    good = defaultdict(set)
+    for (doc, item, _), windows in found.items():
+        seen = defaultdict(set)
+        for _, mine, theirs, _ in windows:
+            for m, t in zip(mine, theirs):
+                seen[t].add(m)
+        torn = {t for t, m in seen.items() if len(m) > 1}
+        whole = total[item][0] > 0 and len({j for j, *_, templated in windows if templated}) == total[item][0]
+        numbers = whole and all(t[0] in "0123456789" for t in torn)
+        good[doc, item] |= {(j, templated) for j, mine, theirs, templated in windows if numbers or mine == theirs or not torn & set(theirs)}
+    for (doc, item), windows in good.items():
+        least = lambda n: min(decontaminate.MIN_WINDOWS, n)
+        if len(windows) >= least(total[item][1]) or total[item][0] and sum(t for _, t in windows) >= least(total[item][0]):
+            out[doc, item] = len(windows)
     return out
 
 
@@ -97,7 +121,7 @@ def test_templates_and_slots(spark, odd_docs, no_docs):
     docs = spark.createDataFrame([(10, variant, 0), (10, variant, 0), (11, broken, 0), (12, item, 0), (13, "So what is the colour of it", 0), (14, "is it so", 0),
                                   (None, item, 0), (15, "the station at 40 km per hour with Alice", 0)], "doc_id long, text string, pos int")
     got = {(r.doc_id, r.item_id): (r.kind, r.coverage) for r in decontaminate.find_leaks(docs, items).collect()}
-    assert got == {(10, 1): ("reparameterised", 1.0), (12, 1): ("exact", 1.0), (None, 1): ("exact", 1.0), (13, 2): ("exact", 1.0)}
+    assert got == {(10, 1): ("reparameterised", 1.0), (12, 1): ("exact", 1.0), (None, 1): ("exact", 1.0), (13, 2): ("exact", 1.0), (14, 3): ("exact", 1.0)}
     before = decontaminate.FILTER_WINDOWS
     try:
         decontaminate.FILTER_WINDOWS = 0  # the way without the first filter
@@ -115,12 +139,13 @@ def test_leaks_beside_one_changed_value_and_without_template(spark):
             5: "What is the sum of 3 numbers if each of them is 7", 6: "Tell Alice that Robert met Susan near Old Berlin on the way to Paris", 7: "is it so"}
     text = {10: twice.replace("1931 the miller", "1947 the miller"), 11: item[2].replace("5 apples", "7 apples").replace("5 pears", "9 pears"),
             12: "So 48 / 2 = 24; 48 + 24 = 72 and no more", 13: "the user asked What is the sum of 4 numbers if each of them is 9", 14: item[6].upper(),
-            15: "the user asked Which is the sum of 4 numbers if each of them is 9", 16: "it is so that 48 and 24 are 72", 17: item[6].replace("Robert", "Peter")}
+            15: "the user asked Which is the sum of 4 numbers if each of them is 9", 18: "Is it SO?", 16: "it is so that 48 and 24 are 72", 17: item[6].replace("Robert", "Peter")}
     items = spark.createDataFrame(list(item.items()), "item_id long, text string")
     docs = spark.createDataFrame(list(text.items()), "doc_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(docs, items).collect()}
-    assert set(got) == {(10, 1), (11, 2), (12, 3), (12, 4), (13, 5), (14, 6), (17, 6)}
-    assert {k: r.kind for k, r in got.items() if r.kind != "exact"} == {(11, 2): "reparameterised", (13, 5): "reparameterised", (17, 6): "reparameterised"}
+    assert set(got) == {(10, 1), (11, 2), (12, 3), (12, 4), (13, 5), (14, 6), (17, 6), (18, 7)}
+    assert {k: r.kind for k, r in got.items() if r.kind != "exact"} == {(10, 1): "reparameterised", (11, 2): "reparameterised", (13, 5): "reparameterised", (17, 6): "reparameterised"}
+    assert {k: r.matched for k, r in got.items()} == plain_leaks(list(text.items()), list(item.items()))
     assert all(r.matched <= r.item_windows and 0 < r.coverage <= 1 for r in got.values()) and got[14, 6].coverage == 1
 
 

@@ -293,7 +293,9 @@ def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roo
     renewed = stored(_several_roots(renewed.select("kmer", "a", "id", "n", "only", "root"), "a", "kmer"), "extra-kmers-left")
     keep = (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("x.root") != F.col("y.root")) & _can_match(least)
     sharing = renewed.alias("x").join(renewed.alias("y"), keep & (F.col("x.id") < F.col("y.id")))
-    lacking = apart.drop("n", "root", "d").withColumnRenamed("b", "id").join(mine.select("a", "id", "n", "only"), ["a", "id"]).join(
+    # Texts that share nothing the hub lacks leave all of that unmatched.
+    lacking = apart.drop("root").withColumnRenamed("b", "id").withColumn("only", F.size("d")).where(
+        (F.size("lacks_x") + F.size("lacks_y") > 0) & (F.col("only") <= (1 / least - 1) * (F.col("n") - F.col("only")) + 1e-9)).join(
         roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     x = lacking.select("a", "id", "n", "only", "root", "gap", F.explode("lacks_x").alias("kmer")).alias("x")
     y = lacking.select("a", "id", "n", "only", "root", "shorter", F.explode("lacks_y").alias("kmer")).alias("y")

@@ -102,7 +102,37 @@ def test_structures_are_decoded():
     assert kinds(f"-----BEGIN PRIVATE KEY-----\n{body[:-9]}\n-----END PRIVATE KEY-----") == []
     blob = lambda *parts: base64.b64encode(b"".join(len(p).to_bytes(4, "big") + p for p in parts)).decode()
     assert kinds("ssh-ed25519 " + blob(b"ssh-ed25519", bytes(32))) == ["ssh"]
-    assert "der" in kinds("key " + der.hex())
+    assert "der" in kinds("key " + der.hex()) and "der" in kinds("key " + der.hex().upper())
+    short = bytes([0x30, 0x2E, 0x02, 0x01, 0x00, 0x30, 0x05, 0x06, 0x03, 0x2B, 0x65, 0x70, 0x04, 0x22, 0x04, 0x20]) + bytes(range(32))
+    for text in (base64.b64encode(short).decode(), base64.urlsafe_b64encode(short).decode()):
+        assert kinds(f"key {text} end") == ["der"]
+    armour = f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+    assert kinds(armour.replace("\n", "\\n")) == ["pem"] and kinds(base64.b64encode(armour.encode()).decode()) == ["pem"]
+    lines = "\n".join(body[i:i + 64] for i in range(0, len(body), 64))
+    assert [(s["kind"], s["start"], s["end"]) for s in secrets.find(f"a\n{lines}\nnext line")] == [("der", 2, 2 + len(lines))]
+    begin = "-----BEGIN PRIVATE KEY-----\n"
+    assert kinds(begin * 3 + armour[len(begin):]) == ["pem"]
+
+
+def test_very_long_texts_take_linear_time_and_equal_the_plain_patterns():
+    import time
+
+    unit = "tel 030 1234 5678, 555-12-3456 10.0.0.1 a.b@c.de token=abcdefgh12 0123456789abcdef0123456789abcdef 4111 1111 1111 1111. -----BEGIN X KEY----- MIIB "
+    texts = [unit * 500, unit * 4000, "x" * 10_000 + unit, "1 " * 20_000]
+    took = []
+    for t in texts:
+        start = time.perf_counter()
+        got, keys = pii.find(t), secrets.find(t)
+        took.append(time.perf_counter() - start)
+        assert [(s["kind"], s["start"], s["end"]) for s in got if s["base"]] == plain_pii(t)
+        assert [(s["kind"], s["start"], s["end"]) for s in keys if s["base"]] == plain_secrets(t)
+    assert took[1] < 30 * took[0]  # eight times the text
+    assert sum(s["kind"] == "tel" for s in pii.find(texts[0])) >= 500
+
+
+def test_words_behind_a_span_count():
+    kinds = lambda t: [s["kind"] for s in pii.find(t)]
+    assert kinds("030 1234 5678 is my phone") == ["tel"] and kinds("030 1234 5678 is my score") == []
 
 
 def test_masking(odd_docs):

@@ -87,6 +87,23 @@ def test_map_edits_move_little(spark):
     assert {r.virtual_slot: r.shard for r in sharding.read_map(spark, path, 1).collect()} == first
 
 
+def test_a_stored_map_is_read_and_edited(spark, odd_docs):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int")).alias("text"))
+    path = new_path(spark, "map-kept")
+    versions = lambda: sorted(r.version for r in spark.read.parquet(path).select("version").distinct().collect())
+    first = sorted(sharding.assign(docs, shards=4, map_path=path).collect())
+    assert versions() == [1, 2] and len(first) == 400
+    assert sorted(sharding.assign(docs, shards=4, map_path=path).collect()) == first and versions() == [1, 2]
+    grown = sharding.assign(docs, shards=5, map_path=path).collect()  # what version 2 foresaw
+    assert versions() == [1, 2, 3] and {r.map_version for r in grown} == {2} and len(grown) == 400
+    assert {(r.doc_id, r.shard) for r in grown} == {(r.doc_id, r.moved_shard) for r in first}
+    more = docs.withColumn("text", F.when(F.col("doc_id") < 40, F.repeat(F.lit("y"), 500)).otherwise(F.col("text")))
+    drifted = sharding.assign(more, shards=4, map_path=path).collect()
+    assert len(drifted) == 400 and {r.map_version for r in drifted} == {4}
+    with pytest.raises(ValueError):
+        sharding.assign(docs, shards=4, slots=64, map_path=path)
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
     df = registry.queries()[name](spark, SF)
@@ -150,12 +167,17 @@ def test_topk_odd_vectors(spark):
     rows += [(i, [1.0] * 16, 0, "q") for i in range(200, 260)] + [(300, None, 0, "q"), (350, [1.0], 0, "q"), (400, [float("nan")] + [None] * 15, 0, "q"), (None, [1.0] * 16, 0, "q")]
     rows.append(rows[3])
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, seg int, ids string")
-    code = {r[0]: "".join("1" if x is not None and x > 0 else "0" for x in r[1]) for r in rows if r[0] is not None and r[1] is not None and len(r[1]) == 16}
+    code = {r[0]: "".join("1" if x is not None and x > 0 else "0" for x in r[1]) for r in rows if r[0] is not None and r[1] is not None}
+    code = {i: c.ljust(16, "0") for i, c in code.items()}
     want = set()
     for q in (i for i in code if i % 50 == 0):
         near = sorted((sum(a != b for a, b in zip(code[q], code[i])), i) for i in code if i != q)[:10]
         want |= {(q, k + 1, i, d) for k, (d, i) in enumerate(near)}
     assert {tuple(r) for r in topk.search(table).collect()} == want
     assert topk.search(table.where("false")).count() == 0
+    longer = table.select("vec_id", "embedding").unionByName(spark.createDataFrame([(500, [1.0] * 17)], "vec_id long, embedding array<float>"))
+    got = {tuple(r) for r in topk.search(longer).collect()}  # one long vector takes no row from the others
+    code = {**{i: c + "0" for i, c in code.items()}, 500: "1" * 17}
+    assert {r[0] for r in got} == {i for i in code if i % 50 == 0} and all(d == sum(a != b for a, b in zip(code[q], code[i])) for q, _, i, d in got)
     few = topk.search(table.where("vec_id < 4")).collect()
     assert len(few) == 3

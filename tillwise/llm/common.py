@@ -19,6 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a session that leaves it unset (tests) gets one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tillwise-llm-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -50,19 +52,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_PER_BATCH, size:
 
 def map_rows(df: DataFrame, fn: Callable[[list[list]], dict[str, list]], schema: str) -> DataFrame:
     """``fn`` gets the columns of one Arrow batch as Python lists and returns the output columns."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
-    out = pa.schema(_arrow_fields(spark, schema))
+    out = pa.schema(_arrow_fields(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = fn([c.to_pylist() for c in batch.columns])
             yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
 
 
-def _arrow_fields(spark: SparkSession, schema: str) -> list[pa.Field]:
+def _arrow_fields(schema: str) -> list[pa.Field]:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 

@@ -20,11 +20,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.llm.common import ROWS_PER_BATCH, stored
+from tillwise.llm.common import slices, stored
 
 WIDTH = 8               # template words in a window
 MIN_WIDTH = 5           # items of fewer words have no template; of fewer than WIDTH they are one window
-MIN_LITERAL = 3         # items of MIN_LITERAL words with a number, and of more words, are compared literally; shorter ones never match
+MIN_LITERAL = 3         # items of MIN_LITERAL words with a number, and of more words, are compared literally; shorter ones with whole documents
 MIN_WINDOWS = 6
 FILTER_WINDOWS = 2_000_000  # benchmarks of up to this many windows (16 MB) are sent to the tasks as a first filter
 KNOWN_WORDS = 300_000   # word hashes a Python worker remembers
@@ -107,6 +107,12 @@ def window_keys(keys: list[str], values: list[str | None], width: int, leads: bo
     return out
 
 
+def _entire(keys: list[str], values: list[str | None]) -> tuple[str, int]:
+    """All words of a text that has few, marked as all, and their hash."""
+    words = "all: " + " ".join(k if v is None else v.lower() for k, v in zip(keys, values))
+    return words, xxhash.xxh64_intdigest(words) - (1 << 63)
+
+
 WINDOWS = "id long, hash long, width int, pos int, template string, slots array<string>, leads boolean, templated boolean, n_templates int, n_windows int"
 
 
@@ -114,6 +120,9 @@ def _item_windows(keys: list[str], values: list[str | None], largest: int) -> It
     """Keys of an item: the template of a window and its words; the first word, plain as it opens the item, also as a name."""
     n = len(keys)
     if n < MIN_LITERAL or n == MIN_LITERAL and NUMBER not in keys:
+        if n:
+            words, h = _entire(keys, values)
+            yield h, n, 0, words, [], False, False, 0, 1
         return
     width = min(n, largest)
     found = window_keys(keys, values, width, leads=False)
@@ -136,7 +145,6 @@ def _item_windows(keys: list[str], values: list[str | None], largest: int) -> It
 def windows(texts: DataFrame, widths: list[int], whole: bool, among: np.ndarray | None = None) -> DataFrame:
     """Windows of rows with ``id`` and ``text``. ``whole``: an item of fewer words than the largest width gives one window of
     its own length. ``among``: sorted hashes to which the result is limited. ``slots`` is null for a document's window by words."""
-    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     largest = max(widths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,13 +152,16 @@ def windows(texts: DataFrame, widths: list[int], whole: bool, among: np.ndarray
         if among is not None:
             coarse = np.zeros(1 << 22, bool)
             coarse[among & np.uint64((1 << 22) - 1)] = True
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 keys, values = template(text)
                 if whole:
                     rows += [(doc, *r) for r in _item_windows(keys, values, largest)]
                     continue
+                if 0 < len(keys) <= MIN_LITERAL:
+                    words, h = _entire(keys, values)
+                    rows.append((doc, h, len(keys), 0, words, None, None, None, None, None))
                 for width in widths:
                     for starts, hashes, literal in window_keys(keys, values, width, leads=True):
                         if among is not None:
@@ -175,7 +186,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WIN
     """One row for each contaminated document and item: ``doc_id, item_id, matched, item_windows, coverage, slots, changed, kind``.
 
     ``matched``: distinct windows of the item found; ``slots``: placeholder values compared, ``changed`` those that differ;
-    ``kind``: exact or reparameterised. Null and empty texts match nothing; a null id is kept as null; repeated rows count as
+    ``kind``: reparameterised where any value differs, be it one of two equal numbers of the item, else exact. Items of few
+    words (``MIN_LITERAL``) match documents of the same words and no others. Null and empty texts match nothing; a null id is kept as null; repeated rows count as
     one document; an empty benchmark gives no rows.
     """
     spark = docs.sparkSession

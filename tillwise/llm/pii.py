@@ -8,6 +8,7 @@ Null and empty texts have no spans; every pattern runs in time linear in the tex
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
@@ -28,7 +29,7 @@ AGAINST = ("version", "invoice", "order", "serial", "isbn", "part", "build")
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.5, "phone": 0.7, "iban": 0.5, "tel": 0.2, "ssn": 0.3}
 CHECKED = 0.4      # added where a checksum holds
 CONTEXT = 0.35     # added or taken away for words nearby
-WINDOW = 40        # code points before a span that count as nearby
+WINDOW = 40        # code points before and after a span that count as nearby
 THRESHOLD = 0.5    # for added kinds
 
 MAIL_TAIL = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -100,21 +101,35 @@ def find(text: str | None) -> list[dict]:
     if "+" in text:
         base += [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15]
     added = [("iban", a, b) for a, b in _ibans(text)]
-    taken = [(a, b) for _, a, b in (*base, *added)]
+    taken = _merged((a, b) for _, a, b in (*base, *added))
     for kind, pattern in (("tel", TEL), ("ssn", SSN)):
+        at = 0
         for m in pattern.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
+            while at < len(taken) and taken[at][1] <= m.start():
+                at += 1
+            if at == len(taken) or m.end() <= taken[at][0]:
                 added.append((kind, *m.span()))
-    spans = [(kind, a, b, True, _score(text, kind, a)) for kind, a, b in base]
+    spans = [(kind, a, b, True, _score(text, kind, a, b)) for kind, a, b in base]
     for kind, a, b in added:
-        if (score := _score(text, kind, a)) >= THRESHOLD:
+        if (score := _score(text, kind, a, b)) >= THRESHOLD:
             spans.append((kind, a, b, False, score))
     spans.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return [dict(zip(("kind", "start", "end", "base", "score"), s)) for s in spans]
 
 
-def _score(text: str, kind: str, start: int) -> float:
-    near = {w.lower() for w in NEAR_WORDS.findall(text[max(0, start - WINDOW):start])}
+def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, overlapping ones as one, so that both ends rise."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
+def _score(text: str, kind: str, start: int, end: int) -> float:
+    near = {w.lower() for w in NEAR_WORDS.findall(f"{text[max(0, start - WINDOW):start]} {text[end:end + WINDOW]}")}
     score = PRIOR[kind] + CHECKED * (kind in ("card", "iban"))
     score += CONTEXT * bool(near & set(NEAR[kind])) - CONTEXT * bool(near & set(AGAINST))
     return min(1.0, max(0.0, score))

@@ -25,7 +25,10 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}+")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)")
 PEM_HEAD = re.compile(r"-----BEGIN ([A-Z0-9 ]{3,40})-----")
 SSH = re.compile(r"(?<![A-Za-z0-9+/])AAAA[A-Za-z0-9+/]{28,}+={0,2}")
-DER_TEXT = re.compile(r"(?<![A-Za-z0-9+/])MI[A-Za-z0-9+/]{38,}+={0,2}")
+DER_TEXT = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-Za-z0-9+/_-]{30,}+={0,2}")
+DER_LINE = re.compile(r"\r?\n([A-Za-z0-9+/]+)(={0,2})(?![A-Za-z0-9+/=])")
+DER_HEX = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{30,}+")
+PEM_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])LS0tLS1[A-Za-z0-9+/_-]{40,}+={0,2}")
 
 
 def _unbase64(s: str, url: bool = False) -> bytes | None:
@@ -90,14 +93,31 @@ def jwt_header(part: str) -> bool:
 
 
 def _pem(text: str) -> list[tuple[int, int]]:
-    out, at = [], 0
-    while m := PEM_HEAD.search(text, at):
+    """Armoured keys: no other BEGIN line lies between the two ends, so each stretch of text is looked at once."""
+    out, heads = [], list(PEM_HEAD.finditer(text))
+    for m, limit in zip(heads, [*(h.start() for h in heads[1:]), len(text)]):
         foot = f"-----END {m[1]}-----"
-        end = text.find(foot, m.end())
-        at = m.end()
-        if end >= 0 and key_bytes(_unbase64(re.sub(r"[A-Za-z-]+: [^\n]*\n|\s", "", text[m.end():end]))):
-            at = end + len(foot)
-            out.append((m.start(), at))
+        end = text.find(foot, m.end(), limit)
+        body = "" if end < 0 else text[m.end():end].replace("\\n", "\n").replace("\\r", "")  # line breaks, or written as in JSON
+        if body and key_bytes(_unbase64(re.sub(r"[A-Za-z-]+: [^\n]*\n|\s", "", body))):
+            out.append((m.start(), end + len(foot)))
+    return out
+
+
+def _der_text(text: str) -> list[tuple[int, int]]:
+    """Base64 or base64url runs that are a DER sequence, on one line or broken into lines of one length and a last one."""
+    out = []
+    for m in DER_TEXT.finditer(text):
+        run, end = m[0], m.end()
+        if der_depth(_unbase64(run, url="-" in run or "_" in run) or b"") >= 2:
+            out.append((m.start(), end))
+            continue
+        lines, width = [run], len(run)
+        while width >= 40 and len(lines[-1]) == width and (n := DER_LINE.match(text, end)) and len(n[1]) + len(n[2]) <= width:
+            lines.append(n[1] + n[2])
+            end = n.end()
+        if len(lines) > 1 and der_depth(_unbase64("".join(lines)) or b"") >= 2:
+            out.append((m.start(), end))
     return out
 
 
@@ -116,16 +136,23 @@ def find(text: str | None) -> list[dict]:
     for m in HEX.finditer(text):
         data = bytes.fromhex(m[0]) if len(m[0]) % 2 == 0 else b""
         spans.append(("hex", *m.span(), True, 1.0 if key_bytes(data) else 0.5))
-        if der_depth(data) >= 2:
-            spans.append(("der", *m.span(), False, 1.0))
+    spans += [("der", *m.span(), False, 1.0) for m in DER_HEX.finditer(text) if len(m[0]) % 2 == 0 and der_depth(bytes.fromhex(m[0])) >= 2]
     if "eyJ" in text:
         spans += [("jwt", *m.span(), False, 1.0) for m in JWT.finditer(text) if jwt_header(m[0].split(".")[0])]
-    if "-----BEGIN " in text:
-        spans += [("pem", a, b, False, 1.0) for a, b in _pem(text)]
+    armoured = _pem(text) if "-----BEGIN " in text else []
+    spans += [("pem", a, b, False, 1.0) for a, b in armoured]
+    if "LS0tLS1" in text:
+        spans += [("pem", *m.span(), False, 1.0) for m in PEM_BASE64.finditer(text)
+                  if _pem((_unbase64(m[0], url="-" in m[0] or "_" in m[0]) or b"").decode("latin-1"))]
     if "AAAA" in text:
         spans += [("ssh", *m.span(), False, 1.0) for m in SSH.finditer(text) if ssh_blob(_unbase64(m[0]) or b"")]
-    if "MI" in text:
-        spans += [("der", *m.span(), False, 1.0) for m in DER_TEXT.finditer(text) if der_depth(_unbase64(m[0]) or b"") >= 2]
+    if "M" in text:
+        at = 0
+        for a, b in _der_text(text):
+            while at < len(armoured) and armoured[at][1] <= a:
+                at += 1
+            if at == len(armoured) or a < armoured[at][0]:  # the body of an armoured key is reported once
+                spans.append(("der", a, b, False, 1.0))
     spans.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return [dict(zip(("kind", "start", "end", "base", "score"), s)) for s in spans]
 

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import heapq
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tillwise.llm.common import new_path, stored
 
+DRIFT = 0.1   # of a shard's fair share: a stored map is edited when the fullest shard is further above the emptiest
 SLOTS = 4096  # virtual slots: bounds the map and what the driver sees of the data
 
 
@@ -73,13 +75,56 @@ def read_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return table.where(F.col("version") == (F.lit(version) if version is not None else table.agg(F.max("version")).scalar()))
 
 
+def stored_map(spark: SparkSession, path: str, shards: int) -> tuple[int, int, dict[int, int]] | None:
+    """Of the versions at ``path``: the last number, and the number and slots of the last one for ``shards`` shards, or of the
+    last one at all. None where nothing is stored. A map has a row per virtual slot."""
+    try:
+        table = spark.read.schema("version int, virtual_slot int, shard int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    versions = table.groupBy("version").agg((F.max("shard") + 1).alias("shards")).collect()
+    if not versions:
+        return None
+    last = max(v["version"] for v in versions)
+    chosen = max((v["version"] for v in versions if v["shards"] == shards), default=last)
+    return last, chosen, {r["virtual_slot"]: r["shard"] for r in table.where(F.col("version") == chosen).collect()}
+
+
+def kept_map(spark: SparkSession, path: str, slot_bytes: dict[int, int], shards: int, slots: int, base: dict[int, int] | None = None) -> tuple[int, dict[int, int]]:
+    """Version and slots of the map for ``shards`` shards: the stored one, edited and appended as a new version where the sizes
+    (by more than ``DRIFT``) or the number of shards ask for it. ``base``: what to edit if no version for as many shards is stored."""
+    found = stored_map(spark, path, shards)
+    if found is None:
+        version, mapping = 1, new_map(slot_bytes, shards, slots)
+    else:
+        last, version, old = found
+        if set(old) != set(range(slots)):
+            raise ValueError(f"the map at {path} has {len(old)} slots, not {slots}")
+        fits = max(old.values()) + 1 == shards
+        load = [0] * (max(old.values()) + 1)
+        for slot, shard in old.items():
+            load[shard] += slot_bytes.get(slot, 0)
+        if fits and max(load) - min(load) <= DRIFT * sum(load) / shards:
+            return version, old
+        mapping = edited_map(old if fits or base is None else base, slot_bytes, shards)
+        if fits and mapping == old:
+            return version, old
+        version = last + 1
+    write_map(spark, mapping, version, path)
+    return version, mapping
+
+
 def assign(docs: DataFrame, shards: int = 16, grow_to: int | None = None, slots: int = SLOTS, map_path: str | None = None,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, virtual_slot, shard, slot, map_version`` and ``moved_shard`` for every row.
 
     ``size``: UTF-8 bytes plus 1 (null text: 1). ``slot``: the record's place in its shard, gapless from 0, by virtual
     slot and id. ``moved_shard``: the shard after the map was edited for ``grow_to`` shards. Repeated rows have places of
-    their own; an empty table gives no rows. A record larger than a shard's fair share can't be split and fills its shard alone.
+    their own; an empty table gives no rows. Equal texts have slots of their own, as the id decides, so they may lie in
+    different shards. If ``map_path`` holds a map, it is read and edited, and an edit is appended as the next version; a call
+    that changes nothing appends nothing. A record larger than a shard's fair share can't be split and fills its shard alone.
     """
     spark = docs.sparkSession
     text = docs[text_col]
@@ -90,15 +135,14 @@ def assign(docs: DataFrame, shards: int = 16, grow_to: int | None = None, slots:
         F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()}  # at most ``slots`` rows
     slot_bytes = {s: b for s, (b, _) in per_slot.items()}
     path = map_path or new_path(spark, "slot-map")
-    first = new_map(slot_bytes, shards, slots)
-    write_map(spark, first, 1, path)
-    write_map(spark, edited_map(first, slot_bytes, grow_to or shards + 1), 2, path)
+    version, first = kept_map(spark, path, slot_bytes, shards, slots)
+    grown_version, _ = kept_map(spark, path, slot_bytes, grow_to or shards + 1, slots, base=first)
     starts, filled = [], [0] * shards
     for slot in range(slots):
         starts.append((slot, filled[first[slot]]))
         filled[first[slot]] += per_slot.get(slot, (0, 0))[1]
-    current = read_map(spark, path, 1).select("virtual_slot", "shard", F.col("version").alias("map_version"))
-    grown = read_map(spark, path, 2).select("virtual_slot", F.col("shard").alias("moved_shard"))
+    current = read_map(spark, path, version).select("virtual_slot", "shard", F.col("version").alias("map_version"))
+    grown = read_map(spark, path, grown_version).select("virtual_slot", F.col("shard").alias("moved_shard"))
     table = spark.createDataFrame(starts, "virtual_slot int, before long").join(current, "virtual_slot").join(grown, "virtual_slot")
     # The key of the window is the virtual slot: one of ``slots`` even parts of the ids, however the texts are spread.
     place = F.row_number().over(W.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size"))

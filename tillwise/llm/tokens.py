@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tillwise.llm.common import new_path, slices, stored
 
 END_ID = 2
-KEPT_PIECES = 500_000    # pieces of text that a Python worker remembers at most (about 80 MB); more only costs time
-BATCH = (10_000, 16 << 20)  # rows and bytes of text that are encoded together: a piece is looked up once for them
+KEPT_PIECES = 300_000    # pieces of text that a Python worker remembers at most (about 50 MB); more only costs time
+BATCH = (10_000, 8 << 20)   # rows and bytes of text that are encoded together: a piece is looked up once for them
 TOGETHER = 500           # new words that are given to the tokenizer as one text
 PART_BYTES = 32 << 20    # text bytes aimed at per output file
 ROW_GROUP = 16 << 20
@@ -84,34 +84,37 @@ class Encoder:
         return [np.frombuffer(self.ids(t.as_py()), "<u4") if o else next(plain) for t, o in zip(texts, odd)]
 
     def _spaced(self, pieces: list[str], times: np.ndarray) -> list[bytes]:
-        """Ids of each piece with the space before it, empty for those met no times. A run of letters, a run of marks after it
+        """Ids of each piece with the space before it; those met more than twice are remembered. A run of letters, a run of marks after it
         and a single line break are tokenized apart by the vocabulary's pattern, so new pieces are put together from parts."""
         found = list(map(self.known.get, pieces))
-        parts = {}
-        for i, (ids, n) in enumerate(zip(found, times.tolist())):
-            if ids is None and n:
-                p = pieces[i]
-                m = None if p.isalpha() else _LETTERS_MARKS.fullmatch(p)
-                if m is not None:
-                    parts[i] = m[1], m[2], ""
-                elif "\n" in p and (m := _LINES.fullmatch(p)):
-                    left = _LETTERS_MARKS.fullmatch(m[1])
-                    parts[i] = (left[1], left[2], m[2]) if left else (m[1], "", m[2])
-                else:
-                    parts[i] = p, "", ""
-        new = self._together(list({p for p, _, _ in parts.values()} - self.known.keys()))
-        for i, (head, marks, line) in parts.items():
+        at, heads, marks, lines = [], [], [], []  # of the new pieces; lists of strings, which the collector of cycles leaves alone
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            head, mark, line = pieces[i], "", ""
+            if not head.isalpha():
+                if m := _LETTERS_MARKS.fullmatch(head):
+                    head, mark = m.groups()
+                elif "\n" in head and (m := _LINES.fullmatch(head)):
+                    head, line = m.groups()
+                    if m := _LETTERS_MARKS.fullmatch(head):
+                        head, mark = m.groups()
+            at.append(i)
+            heads.append(head)
+            marks.append(mark)
+            lines.append(line)
+        new = self._together(list(set(heads) - self.known.keys()))
+        bare, line_break = self._bare, self._bare("\n")
+        for i, head, mark, line in zip(at, heads, marks, lines):
             ids = new.get(head) or self.known[head]
-            if marks:
-                ids += self._bare(marks)
+            if mark:
+                ids += bare(mark)
             if line:
-                ids += self._bare("\n") + self._bare(line)
+                ids += line_break + bare(line)
             found[i] = ids
         if len(self.known) > KEPT_PIECES:
             self.known.clear()
         for i in np.flatnonzero(times > 2).tolist():
             self.known[pieces[i]] = found[i]
-        return [f or b"" for f in found]
+        return found
 
     def _together(self, pieces: list[str]) -> dict[str, bytes]:
         """New pieces, many as one text: none holds a space, so each begins at the next id that begins with one."""

@@ -23,10 +23,10 @@ def segment_widths(bits: int, rows: int) -> list[int]:
 
 
 def _segments(vector: Column, widths: list[int]) -> list[Column]:
-    """Sign bits (null and NaN: 0) of the components, packed into one integer a segment."""
+    """Sign bits (null, NaN and components beyond the end: 0) of the components, packed into one integer a segment."""
     out, at = [], 0
     for width in widths:
-        bits = [F.when((vector[at + i] > 0) & ~F.isnan(vector[at + i]), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(width)]
+        bits = [F.when((F.get(vector, F.lit(at + i)) > 0) & ~F.isnan(F.get(vector, F.lit(at + i))), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(width)]
         value = bits[0]
         for b in bits[1:]:
             value = value + b
@@ -46,8 +46,8 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = 10, id
     """``query_id, rank, neighbour_id, distance``: the ``k`` nearest other rows of every query, by distance and then id.
 
     ``queries``: rows of the same shape (default: rows whose id is divisible by 50). The code of a vector is the signs of its
-    components. Rows without an id, with a null vector or of another length than the longest take no part; ids are taken as
-    unique, a repeated row counts once. Fewer rows than ``k`` give fewer neighbours.
+    components, as many bits as the longest vector has; what a shorter vector lacks counts as 0. Rows without an id or with a
+    null vector take no part; ids are taken as unique, a repeated row counts once. Fewer rows than ``k`` give fewer neighbours.
 
     Equal codes are one code with its k + 1 least ids, so a vector that is repeated endlessly costs as much as one.
     """
@@ -65,7 +65,7 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = 10, id
     asked = [f"q{j}" for j in range(m)]
 
     def coded(df: DataFrame, names: list[str]) -> DataFrame:
-        return df.where(F.size("vector") == bits).select("id", *[c.alias(n) for n, c in zip(names, _segments(F.col("vector"), widths))])
+        return df.select("id", *[c.alias(n) for n, c in zip(names, _segments(F.col("vector"), widths))])
 
     first = F.row_number().over(W.partitionBy(*columns).orderBy("id"))
     codes = stored(coded(table, columns).distinct().withColumn("rn", first).where(F.col("rn") <= k + 1)

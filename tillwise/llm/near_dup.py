@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections import OrderedDict
+from functools import reduce
+from operator import add, and_
 
 import numpy as np
 import xxhash
@@ -20,6 +22,7 @@ from tillwise.llm.common import map_rows, stored, words
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 2   # at similarity 0.8 a sketch agrees with chance 0.64 or so; one of 20 bands of two with 0.99997
+MARKS = 256           # bits of the bitmaps that bound the difference of two texts of one hub
 CELLS = 1 << 20       # hashed k-mers held at once while a text is sketched
 _rng = np.random.default_rng(20)
 _MULTIPLY = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -109,24 +112,32 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, found: t
 
 
 def differences(hub: np.ndarray, x: np.ndarray, least: float, found: tuple[np.ndarray, np.ndarray]) -> dict:
-    """What a text has that its hub lacks, as far as it decides which other texts of the hub can be like it.
-
-    Write D for the text's k-mers outside the hub (``d``), M for the hub's outside the text. Texts x and y of one hub with
-    similarity s or more share at least |D| - (1 - s)|x| k-mers of D, so that one of the first (1 - s)|x| + 1 in any common
-    order is shared (``take``). If they share none, D is at most (1 - s)|x| large, and with gap = s |hub or x| - |hub and x| > 0
-    (x is not linked to the hub) it follows that y is shorter than the hub by gap / s or more, and that they lack gap / s and
-    |M of y| / (1 + s) common k-mers: ``lacks_x`` and ``lacks_y`` are the first k-mers of M of which one is then shared.
+    """What a text has that its hub lacks (D, ``d``), and the first k-mers of the hub that it lacks (M, ``lacks``).
+
+    Texts x and y of one hub H with similarity s have s / (1 + s) (|x| + |y|) k-mers in common or more. In H they have |x| - |D of x|
+    of them at most, so they share at least |D of x| - (1 - s)|x| of D, and |D of x| - (1 - s) / (1 + s) |x| if x is the shorter
+    one. One of the first |D| - that + 1 in any common order is then shared: ``take`` of each text, ``probe`` of the shorter.
+    If nothing of D is shared, |D| is at most (1 - s)|x|, and all they have in common is in H: of M they share all but
+    (1 / s - 1)|x|, and all but (1 - s) / (1 + s) |x| - |D of x| if x has the larger |x| / (1 + s) - |D|. Of M so many, and one,
+    are kept (``lacks``), of which the first ``lack_probe`` are for the case that x is that one.
+    ``marks``: D and M as bitmaps of ``MARKS`` bits by hash, which bound from below what one text has and another has not.
     """
     at_hub, at_x = found
     own, lost = np.ones(len(x), bool), np.ones(len(hub), bool)
     own[at_x], lost[at_hub] = False, False
     d, m = np.sort(x[own].astype(np.int64)), np.sort(hub[lost].astype(np.int64))
-    gap = least * (len(hub) + len(d)) - len(at_x)
-    share = math.ceil(len(d) - (1 - least) * len(x) - 1e-9)
-    share_x = max(1, math.ceil(gap / least - 1e-9))
-    return {"d": d.tolist(), "take": len(d) - max(1, share) + 1 if len(d) else 0, "gap": float(gap), "shorter": len(hub) - len(x),
-            "lacks_x": m[:max(0, len(m) - share_x + 1)].tolist() if gap > 0 and share < 1 else [],
-            "lacks_y": m[:len(m) - math.ceil(len(m) / (1 + least) - 1e-9) + 1].tolist() if len(hub) > len(x) and len(m) and share < 1 else []}
+    most = lambda share: math.floor(share + 1e-9) + 1
+    nearer = (1 - least) / (1 + least) * len(x)
+    inside = len(d) <= (1 - least) * len(x) + 1e-9
+    return {"d": d.tolist(), "take": min(len(d), most((1 - least) * len(x))), "probe": min(len(d), most(nearer)),
+            "lacks": m[:most((1 / least - 1) * len(x))].tolist() if inside else [], "lack_probe": max(0, most(nearer - len(d))),
+            "marks": [w for part in (d, m) for w in _bitmap(part)]}
+
+
+def _bitmap(x: np.ndarray) -> list[int]:
+    bits = np.zeros(MARKS, np.uint8)
+    bits[x.astype(np.uint64) % np.uint64(MARKS)] = 1
+    return np.packbits(bits).view(np.int64).tolist()
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,7 +190,7 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
 def compare_with_hubs(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """For every pair (hub ``a``, text ``b``): whether they are ``linked``, the k-mers of ``b``, and how ``b`` differs."""
     def run(c: list[list]) -> dict[str, list]:
-        recent, out = _Recent(), {k: [] for k in ("a", "b", "linked", "n", "d", "take", "gap", "shorter", "lacks_x", "lacks_y")}
+        recent, out = _Recent(), {k: [] for k in ("a", "b", "linked", "n", "d", "take", "probe", "lacks", "lack_probe", "marks")}
         for x, y, s, t in zip(*c):
             hub, own = recent.of(x, s), kmers(t or "")
             found = _matches(hub, own)
@@ -189,7 +200,7 @@ def compare_with_hubs(pairs: DataFrame, texts: DataFrame, least: float = SIMILAR
         return out
 
     return map_rows(_with_texts(pairs, texts), run, "a long, b long, linked boolean, n int, d array<long>, take int, "
-                    "gap double, shorter int, lacks_x array<long>, lacks_y array<long>")
+                    "probe int, lacks array<long>, lack_probe int, marks array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -273,35 +284,34 @@ def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roo
     The k-mers that a hub lacks are ordered by how many of its texts have them. Those of one text come first, and they can't
     be shared; where they fill the prefix, the text has no partner. ``only`` counts them: two texts with similarity s match
     min(n - only) k-mers at most, and leave both counts unmatched, so the sum of the two is at most (1 / s - 1) of that.
+    Texts under one k-mer form a bucket. Each is compared with the bucket's own hub; what is still apart meets pair by pair,
+    one of the two by its short prefix (``probes``).
     """
-    mine = apart.select("a", F.col("b").alias("id"), "n", "root", "take", "d")
+    mine = apart.select("a", F.col("b").alias("id"), "n", "root", "take", "probe", "d", "marks")
     shared = mine.select("a", F.explode("d").alias("kmer")).groupBy("a", "kmer").agg(F.count("*").alias("texts")).where("texts > 1")
     per = mine.select("a", "id", F.explode("d").alias("kmer")).join(shared, ["a", "kmer"]).groupBy("a", "id").agg(
         F.sort_array(F.collect_list(F.struct("texts", "kmer"))).alias("order"))  # as many as the text has
-    mine = mine.join(per, ["a", "id"], "left").withColumn("only", F.size("d") - F.when(F.col("order").isNull(), 0).otherwise(F.size("order"))).where(
-        F.col("only") <= (1 / least - 1) * (F.col("n") - F.col("only")) + 1e-9)
-    mine = stored(mine.withColumn("first", F.when(F.col("take") > F.col("only"), F.slice("order", F.lit(1), F.col("take") - F.col("only")))).select(
-        "a", "id", "n", "root", "only", F.transform("first", lambda x: x["kmer"]).alias("first")), "texts-apart")
-    extra = stored(_several_roots(mine.select(F.explode("first").alias("kmer"), "a", "id", "n", "only", "root"), "a", "kmer"), "extra-kmers")
-    second = extra.groupBy("a", "kmer").agg(F.min(F.struct("only", "id", "n", "root")).alias("hub"))
-    x, y = extra.alias("x"), second.select("a", "kmer", "hub.*").alias("y")
-    pairs = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("x.root") != F.col("y.root")) & _can_match(least)).select(
-        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    possible = F.col("only") <= (1 / least - 1) * (F.col("n") - F.col("only")) + 1e-9
+    mine = mine.join(per, ["a", "id"]).withColumn("only", F.size("d") - F.size("order")).where(possible & (F.col("take") > F.col("only")))
+    own = mine.select("a", "id", "n", "only", "root", "marks", F.col("n").cast("double").alias("turn"), "probe",
+                      F.posexplode(F.slice("order", F.lit(1), F.col("take") - F.col("only")))).select(
+        "a", F.col("col.kmer").alias("kmer"), F.lit(True).alias("own"), "id", "n", "only", "root", "marks", "turn", (F.col("pos") < F.col("probe") - F.col("only")).alias("probes"))
+    # Texts that share nothing the hub lacks leave all of that unmatched.
+    lacking = apart.withColumnRenamed("b", "id").withColumn("only", F.size("d")).where(possible)
+    lacking = lacking.select("a", "id", "n", "only", "root", "marks", (F.col("only") - F.col("n") / (1 + least)).alias("turn"), "lack_probe", F.posexplode("lacks")).select(
+        "a", F.col("col").alias("kmer"), F.lit(False).alias("own"), "id", "n", "only", "root", "marks", "turn", (F.col("pos") < F.col("lack_probe")).alias("probes"))
+    bucket = ["a", "kmer", "own"]
+    same = reduce(and_, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in bucket]) & (F.col("x.root") != F.col("y.root")) & _can_match(least)
+    extra = stored(_several_roots(own.unionByName(lacking), *bucket), "extra-kmers")
+    second = extra.groupBy(*bucket).agg(F.min(F.struct("only", "id", "n", "root", "marks")).alias("hub")).select(*bucket, "hub.*")
+    pairs = extra.alias("x").join(second.alias("y"), same).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     pairs = stored(pairs.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "second-pairs")
     roots = stored(joined_by(roots, verify(pairs, texts, least)), "second-roots")
     renewed = extra.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    renewed = stored(_several_roots(renewed.select("kmer", "a", "id", "n", "only", "root"), "a", "kmer"), "extra-kmers-left")
-    keep = (F.col("x.a") == F.col("y.a")) & (F.col("x.kmer") == F.col("y.kmer")) & (F.col("x.root") != F.col("y.root")) & _can_match(least)
-    sharing = renewed.alias("x").join(renewed.alias("y"), keep & (F.col("x.id") < F.col("y.id")))
-    # Texts that share nothing the hub lacks leave all of that unmatched.
-    lacking = apart.drop("root").withColumnRenamed("b", "id").withColumn("only", F.size("d")).where(
-        (F.size("lacks_x") + F.size("lacks_y") > 0) & (F.col("only") <= (1 / least - 1) * (F.col("n") - F.col("only")) + 1e-9)).join(
-        roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    x = lacking.select("a", "id", "n", "only", "root", "gap", F.explode("lacks_x").alias("kmer")).alias("x")
-    y = lacking.select("a", "id", "n", "only", "root", "shorter", F.explode("lacks_y").alias("kmer")).alias("y")
-    missing = x.join(y, keep & (F.col("y.shorter") >= F.col("x.gap") / least - 1e-9))
-    left = sharing.select("x.id", F.col("y.id").alias("other")).unionByName(missing.select("x.id", F.col("y.id").alias("other")))
-    left = left.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct().join(
+    renewed = stored(_several_roots(renewed, *bucket), "extra-kmers-left")
+    first = F.struct("x.turn", "x.id") < F.struct("y.turn", "y.id")
+    left = renewed.where("probes").alias("x").join(renewed.alias("y"), same & first).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(
         pairs.unionByName(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))), ["a", "b"], "left_anti")
     return joined_by(roots, verify(stored(left, "third-pairs"), texts, least))
 
@@ -313,7 +323,16 @@ def _several_roots(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _can_match(least: float) -> Column:
-    """Whether sizes and unshared k-mers let two texts (x, y) reach the similarity."""
+    """Whether sizes, unshared k-mers and bitmaps let two texts (x, y) of one hub reach the similarity."""
+    half = MARKS // 64
+
+    def beyond(x: str, y: str) -> Column:
+        """A lower bound of the k-mers that ``x`` has and ``y`` has not: outside the hub, and in it."""
+        both = [(f"{x}.marks", f"{y}.marks", i) for i in range(half)] + [(f"{y}.marks", f"{x}.marks", i) for i in range(half, 2 * half)]
+        return reduce(add, [F.bit_count(F.col(p)[i].bitwiseAND(F.bitwise_not(F.col(q)[i]))) for p, q, i in both])
+
     sizes = F.least("x.n", "y.n") >= F.lit(least) * F.greatest("x.n", "y.n") - 1e-9
     most = F.least(F.col("x.n") - F.col("x.only"), F.col("y.n") - F.col("y.only"))
-    return sizes & (F.col("x.only") + F.col("y.only") <= (1 / least - 1) * most + 1e-9)
+    u, v = beyond("x", "y"), beyond("y", "x")
+    return (sizes & (F.col("x.only") + F.col("y.only") <= (1 / least - 1) * most + 1e-9)
+            & (u + least * v <= (1 - least) * F.col("x.n") + 1e-9) & (v + least * u <= (1 - least) * F.col("y.n") + 1e-9))

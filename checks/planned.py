@@ -34,12 +34,13 @@ def _(s, spark):
     return funnel.by_category(s.fact_traffic, s.dim_product)
 
 
-FIRST = "SELECT session_id, " + ", ".join(f"min(created_at) FILTER (WHERE event_type = '{t}') AS {t}" for t in STAGES) + " FROM fact_traffic GROUP BY 1"
-CONDS = ["view_home IS NOT NULL"] + [f"{a} <= {c}" for a, c in zip(STAGES, STAGES[1:])]
+REACHED = ["m1 AS (SELECT session_id, min(created_at) AS t FROM fact_traffic WHERE event_type = 'view_home' AND session_id IS NOT NULL GROUP BY 1)"] + [
+    f"m{i} AS (SELECT e.session_id, min(e.created_at) AS t FROM fact_traffic e JOIN m{i - 1} m ON e.session_id = m.session_id AND e.created_at >= m.t"
+    f" WHERE e.event_type = '{t}' GROUP BY 1)" for i, t in list(enumerate(STAGES, 1))[1:]]
 
 
-@check("r01_sequential_funnel", f"WITH f AS ({FIRST}) " + " UNION ALL ".join(
-    f"SELECT {i + 1} AS step, '{t}' AS stage, count(*) AS sessions FROM f WHERE {' AND '.join(CONDS[:i + 1])}" for i, t in enumerate(STAGES)))
+@check("r01_sequential_funnel", "WITH " + ", ".join(REACHED) + " " + " UNION ALL ".join(
+    f"SELECT {i} AS step, '{t}' AS stage, count(*) AS sessions FROM m{i}" for i, t in enumerate(STAGES, 1)))
 def _(s, spark):
     return funnel.sequential(s.fact_traffic)
 
@@ -167,3 +168,8 @@ def _(s, spark):
 @check("r15_principal_components")
 def _(s, spark):
     return x.principal_components(clusters.vectors(wide(s), clusters.COMPARED_FEATURES, ("user_id",)), "user_id")
+
+
+@check("r15_isolation_forest")
+def _(s, spark):
+    return x.isolation_scores(s.orders.select("order_id", *OUT), OUT, "order_id")

@@ -197,6 +197,44 @@ def test_robust_outlier(spark):
     assert [r["id"] for r in experiments.robust_outliers(df, ["v"], "id").where("is_outlier").collect()] == [99]
 
 
+def test_isolation_scores_follow_the_trees(spark):
+    rng = random.Random(7)
+    points = [(i, rng.gauss(0, 1), rng.gauss(5, 2), None if i % 9 == 0 else 1.0) for i in range(700)] + [(900, 40.0, 5.0, 1.0), (901, 0.0, -60.0, 1.0)]
+    df = spark.createDataFrame(points, "id long, a double, b double, c double").repartition(5)
+    got = {r["id"]: r["outlier_score"] for r in experiments.isolation_scores(df, ["a", "b", "c"], "id", trees=20, sample=32).collect()}
+    assert got == {r["id"]: r["outlier_score"] for r in experiments.isolation_scores(df.repartition(2), ["a", "b", "c"], "id", trees=20, sample=32).collect()}
+    hashed = df.selectExpr("xxhash64(42, id) AS h", "array(a, b, coalesce(c, 0D)) AS x").orderBy("h").limit(640).collect()
+    forest = experiments.grow_forest([r["x"] for r in hashed], 20, 32)
+
+    def plain(x):
+        total = 0.0
+        for column, cut, length in zip(*forest):
+            node = 0
+            while column[node] >= 0:
+                node = 2 * node + (1 if x[column[node]] < cut[node] else 2)
+            total += length[node]
+        return 2 ** (-total / 20 / experiments.mean_depth(32))
+
+    assert all(abs(got[i] - plain((a, b, c or 0.0))) < 1e-6 for i, a, b, c in points) and len(got) == 702
+    two = {r["id"]: r["outlier_score"] for r in experiments.isolation_scores(df, ["a", "b"], "id").collect()}
+    assert set(sorted(two, key=two.get)[-2:]) == {900, 901}
+    assert experiments.isolation_scores(df.where("false"), ["a"], "id", trees=5).count() == 0
+    flat = experiments.isolation_scores(spark.range(30).selectExpr("id", "1D AS v"), ["v"], "id", trees=4, sample=8).select("outlier_score").distinct().collect()
+    assert [r[0] for r in flat] == [0.5]
+
+
+def test_sequential_funnel_takes_later_events_too(spark):
+    t = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    stages = ("view_home", "view_product", "add_to_cart", "checkout", "pay_success")
+    whole = [("s1", e, t(i)) for i, e in enumerate(stages)]
+    early = [("s2", "checkout", t(0)), ("s2", "pay_success", t(1))] + [("s2", e, t(5 + i)) for i, e in enumerate(stages)]  # first times are not in order
+    back = [("s3", e, t(9 - i)) for i, e in enumerate(stages)]
+    same = [("s4", e, t(3)) for e in stages[:3]]
+    df = spark.createDataFrame(whole + early + back + same + [(None, "view_home", t(1))], "session_id string, event_type string, created_at timestamp")
+    assert [(r["step"], r["stage"], r["sessions"]) for r in funnel.sequential(df).collect()] == [
+        (1, "view_home", 4), (2, "view_product", 3), (3, "add_to_cart", 3), (4, "checkout", 2), (5, "pay_success", 2)]
+
+
 def test_missing_values_by_type(spark):
     df = spark.createDataFrame([(1.0, "a"), (3.0, "b"), (None, "b"), (9.0, None)], "n double, t string")
     assert rows(cleaning.handle_missing(df), "n", "t") == [(1.0, "a"), (3.0, "b"), (3.0, "b"), (9.0, "b")]

@@ -8,6 +8,7 @@ so no query needs several distinct counts over raw events.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -141,17 +142,19 @@ def by_category(traffic: DataFrame, products: DataFrame, stages: Sequence[str] =
 
 
 def sequential(traffic: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame:
-    """Sessions that reach each stage in order: the first times of the stages up to it never go back."""
-    first = (traffic.where(F.col("session_id").isNotNull() & F.col("event_type").isin(*stages)).groupBy("session_id")
-             .agg(*[F.min(F.when(F.col("event_type") == s, F.col("created_at"))).alias(s) for s in stages]))
-    reached, ok = [], None
-    for before, s in zip((None, *stages), stages):
-        step = F.col(s).isNotNull() if before is None else F.coalesce(F.col(s) >= F.col(before), F.lit(False))
-        ok = step if ok is None else ok & step
-        reached.append(ok)
-    counts = first.agg(*[F.count_if(r).alias(s) for r, s in zip(reached, stages)])
-    return counts.select(F.inline(F.array(*[F.struct(F.lit(i + 1).alias("step"), F.lit(s).alias("stage"), F.col(s).alias("sessions"))
-                                            for i, s in enumerate(stages)])))
+    """Sessions that reach each stage in order: each stage by its first event at or after the one matched for the stage before.
+
+    Taking the earliest event that fits leaves the most room for the stages to come, so no later choice could reach further.
+    Each event is read for its own stage only and meets one row of its session; minima are formed before the shuffle.
+    """
+    matched, counts = None, []
+    for i, stage in enumerate(stages):
+        events = traffic.where((F.col("event_type") == stage) & F.col("session_id").isNotNull()).select("session_id", "created_at")
+        if matched is not None:
+            events = events.join(matched, "session_id").where(F.col("created_at") >= F.col("at")).drop("at")
+        matched = events.groupBy("session_id").agg(F.min("created_at").alias("at"))
+        counts.append(matched.agg(F.count("at").alias("sessions")).select(F.lit(i + 1).alias("step"), F.lit(stage).alias("stage"), "sessions"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def abandoned_checkouts(traffic: DataFrame) -> DataFrame:

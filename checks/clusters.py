@@ -25,9 +25,9 @@ def _(s, spark):
 
 @check("j03_silhouettes")
 def _(s, spark):
-    f = c.vectors(wide(s), c.COMPARED_FEATURES, ("user_id",)).select("user_id", "features").persist()
+    f = c.vectors(wide(s), c.USER_FEATURES, ("user_id",)).select("user_id", "features").persist()
     try:
-        return c.silhouettes(f, (3, 5))
+        return c.silhouettes(f)
     finally:
         f.unpersist()
 
@@ -56,9 +56,9 @@ def _(s, spark):
 def _(s, spark):
     from pyspark.ml.functions import vector_to_array
     f = c.vectors(wide(s), c.COMPARED_FEATURES, ("user_id",)).select("user_id", vector_to_array("features").alias("x"))
-    return c.density(f, "user_id", min_points=5).groupBy("cluster").count()
+    return c.density(f, "user_id").groupBy("cluster").count()
 
 
 @check("j08_method_comparison")
 def _(s, spark):
-    return c.compare(wide(s), min_points=5)
+    return c.compare(wide(s))

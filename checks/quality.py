@@ -165,10 +165,11 @@ def _(s, spark):
     return q.status_totals(q.service_report(Tables(s), EXPECTED))
 
 
-USER_TYPES = {"user_id": "bigint", "phone": "string", "gender": "string", "birth_year": "int", "created_at": "timestamp_ntz"}
+USER_TYPES = {"user_id": "bigint", **dict.fromkeys(("name", "email", "phone", "province", "city", "register_channel", "segment", "gender"), "string"),
+              "birth_year": "int", "member_level": "string", "status": "string", "created_at": "timestamp_ntz"}
 
 
 @check("c27_missing_summary", union(*[f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing_count,
     round((count(*) - count({c})) / count(*), 4) AS missing_rate, '{t}' AS dtype FROM s_users""" for c, t in USER_TYPES.items()]))
 def _(s, spark):
-    return q.missing_summary(s.users.select(*USER_TYPES))
+    return q.missing_summary(s.users)

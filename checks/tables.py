@@ -37,9 +37,20 @@ def _(s, spark):
     return tables.page_total(s.orders, {"channel": "email"})
 
 
-@check("a04_table_schema")
+AMOUNTS = dict.fromkeys(("subtotal", "discount_amount", "shipping_fee", "total_amount", "paid_amount"), "double")
+ORDER_TYPES = {"order_id": "bigint", "user_id": "bigint", **dict.fromkeys(("campaign_id", "order_no", "status", "channel"), "string"), **AMOUNTS, "created_at": "timestamp_ntz"}
+FACT_TYPES = {"order_id": "bigint", "user_id": "bigint", "campaign_id": "string", "order_date": "date", "channel": "string", "status": "string", **AMOUNTS}
+
+
+def schema_sql(name, tag, source, types):
+    """A row per column with what the table holds there."""
+    return " UNION ALL ".join(f"""SELECT '{name}' AS table_name, '{tag}' AS table_type, {i} AS position, '{c}' AS name, '{t}' AS type, {c == 'shipping_fee'} AS not_null,
+        {c == 'order_id'} AS pk, count(*) - count({c}) AS missing_count, round((count(*) - count({c})) / count(*), 4) AS missing_rate FROM {source}""" for i, (c, t) in enumerate(types.items()))
+
+
+@check("a04_table_schema", schema_sql("orders", "source", "s_orders", ORDER_TYPES))
 def _(s, spark):
-    return tables.table_schema(s.orders, "orders", ["order_id"])
+    return tables.table_profile(s.orders, "orders", ["order_id"])
 
 
 CATALOGUED = [t for t in (*SOURCE_TABLES, *PUBLIC_VIEWS)]
@@ -231,9 +242,9 @@ def _(s, spark):
     return sf.category_list(s.categories)
 
 
-@check("a34_schema_with_tags")
+@check("a34_schema_with_tags", schema_sql("fact_order", "fact", "fact_order", FACT_TYPES))
 def _(s, spark):
-    return tables.table_schema(s.fact_order, "fact_order", ["order_id"])
+    return tables.table_profile(s.fact_order, "fact_order", ["order_id"])
 
 
 # ---- round trips through files in the shared folder -----------------------------------

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tillwise.operators.quality import missing_summary
 from tillwise.plans.star import PUBLIC_VIEWS, SOURCE_TABLES, VIEWS, Shop
 
 
@@ -117,6 +118,12 @@ def table_schema(df: DataFrame, name: str, primary_key: Iterable[str] = ()) -> D
         rows, "table_name string, table_type string, position int, name string, type string, not_null boolean, pk boolean")
 
 
+def table_profile(df: DataFrame, name: str, primary_key: Iterable[str] = ()) -> DataFrame:
+    """``table_schema`` with the missing values that the table holds in each column, counted in one pass."""
+    held = missing_summary(df).select(F.col("column").alias("name"), "missing_count", "missing_rate")  # one row a column
+    return table_schema(df, name, primary_key).join(held, "name")
+
+
 def catalog(shop: Shop, names: Iterable[str] = (*SOURCE_TABLES, *PUBLIC_VIEWS)) -> DataFrame:
     """Row count and type tag per table, one count per table in a single plan."""
     out = None

@@ -317,8 +317,8 @@ def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roo
 
 
 def _several_roots(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows of the keys under which more than one component is found."""
-    mixed = rows.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(*keys)
+    """Rows of the keys under which more than one component is found and some text probes."""
+    mixed = rows.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("probes").alias("any")).where("low <> high and any").select(*keys)
     return rows.join(mixed, list(keys))
 
 

@@ -302,13 +302,13 @@ def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roo
         "a", F.col("col").alias("kmer"), F.lit(False).alias("own"), "id", "n", "only", "root", "marks", "turn", (F.col("pos") < F.col("lack_probe")).alias("probes"))
     bucket = ["a", "kmer", "own"]
     same = reduce(and_, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in bucket]) & (F.col("x.root") != F.col("y.root")) & _can_match(least)
-    extra = stored(_several_roots(own.unionByName(lacking), *bucket), "extra-kmers")
+    extra = stored(_several_roots(own.unionByName(lacking), bucket, least), "extra-kmers")
     second = extra.groupBy(*bucket).agg(F.min(F.struct("only", "id", "n", "root", "marks")).alias("hub")).select(*bucket, "hub.*")
     pairs = extra.alias("x").join(second.alias("y"), same).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     pairs = stored(pairs.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "second-pairs")
     roots = stored(joined_by(roots, verify(pairs, texts, least)), "second-roots")
     renewed = extra.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    renewed = stored(_several_roots(renewed, *bucket), "extra-kmers-left")
+    renewed = stored(_several_roots(renewed, bucket, least), "extra-kmers-left")
     first = F.struct("x.turn", "x.id") < F.struct("y.turn", "y.id")
     left = renewed.where("probes").alias("x").join(renewed.alias("y"), same & first).select(
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(
@@ -316,10 +316,15 @@ def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roo
     return joined_by(roots, verify(stored(left, "third-pairs"), texts, least))
 
 
-def _several_roots(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows of the keys under which more than one component is found and some text probes."""
-    mixed = rows.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("probes").alias("any")).where("low <> high and any").select(*keys)
-    return rows.join(mixed, list(keys))
+def _several_roots(rows: DataFrame, bucket: list[str], least: float) -> DataFrame:
+    """Rows of the buckets in which more than one component is found, as far as sizes and unshared k-mers let them match one
+    of the texts that probe there."""
+    asks = lambda c: F.when(F.col("probes"), F.col(c))
+    mixed = rows.groupBy(*bucket).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(asks("only")).alias("least_only"),
+                                      F.min(asks("n")).alias("short"), F.max(asks("n")).alias("long")).where("low <> high").alias("m")
+    fits = ((F.col("x.n") >= F.lit(least) * F.col("m.short") - 1e-9) & (F.lit(least) * F.col("x.n") <= F.col("m.long") + 1e-9)
+            & (F.col("x.only") + F.col("m.least_only") <= (1 / least - 1) * (F.col("x.n") - F.col("x.only")) + 1e-9))
+    return rows.alias("x").join(mixed, reduce(and_, [F.col(f"x.{c}") == F.col(f"m.{c}") for c in bucket]) & fits).select("x.*")
 
 
 def _can_match(least: float) -> Column:

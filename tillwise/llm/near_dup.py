@@ -298,6 +298,10 @@ def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roo
         "a", F.col("col.kmer").alias("kmer"), F.lit(True).alias("own"), "id", "n", "only", "root", "marks", "turn", (F.col("pos") < F.col("probe") - F.col("only")).alias("probes"))
     # Texts that share nothing the hub lacks leave all of that unmatched.
     lacking = apart.withColumnRenamed("b", "id").withColumn("only", F.size("d")).where(possible)
+    # No text that probes has more room than the widest of its hub, so the others' lists need be no longer than for that.
+    widest = lacking.where("lack_probe > 0").groupBy("a").agg(F.max(F.col("n") / (1 + least) - F.col("only")).alias("widest"))
+    lacking = lacking.join(widest, "a").withColumn("lacks", F.slice("lacks", F.lit(1), F.greatest(
+        "lack_probe", F.floor(F.col("widest") - least / (1 + least) * F.col("n") + 1e-9).cast("int") + 1, F.lit(0))))
     lacking = lacking.select("a", "id", "n", "only", "root", "marks", (F.col("only") - F.col("n") / (1 + least)).alias("turn"), "lack_probe", F.posexplode("lacks")).select(
         "a", F.col("col").alias("kmer"), F.lit(False).alias("own"), "id", "n", "only", "root", "marks", "turn", (F.col("pos") < F.col("lack_probe")).alias("probes"))
     bucket = ["a", "kmer", "own"]

@@ -32,6 +32,17 @@ def _(s, spark):
         f.unpersist()
 
 
+@check("j03_euclidean_silhouette", """
+    WITH e AS (SELECT vec_id AS id, label AS c, embedding::DOUBLE[] AS x FROM embeddings WHERE label >= 0), n AS (SELECT c, count(*) AS size FROM e GROUP BY 1),
+         t AS (SELECT q.id, q.c AS own, a.c, sum(list_distance(q.x, a.x)) AS total FROM e q, e a WHERE q.id % 50 = 0 GROUP BY 1, 2, 3),
+         m AS (SELECT id, sum(CASE WHEN own = t.c THEN total / nullif(size - 1, 0) END) AS a, min(CASE WHEN own <> t.c THEN total / size END) AS b
+               FROM t JOIN n ON t.c = n.c GROUP BY 1)
+    SELECT round(avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0)), 4) AS silhouette FROM m""")
+def _(s, spark):
+    e = s._source.raw("embeddings")
+    return c.silhouette(e.select("vec_id", F.col("label").alias("cluster"), F.col("embedding").alias("x")), "vec_id")
+
+
 @check("j04_calinski_harabasz", """
     WITH e AS (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS d FROM embeddings),
          g AS (SELECT label, d, count(*) AS n, sum(v) AS s, sum(v * v) AS q FROM e GROUP BY 1, 2), m AS (SELECT d, sum(s) / sum(n) AS mu FROM g GROUP BY 1)
@@ -49,14 +60,14 @@ def _(s, spark):
 
 @check("j06_hierarchical")
 def _(s, spark):
-    return c.hierarchical(c.vectors(wide(s), c.COMPARED_FEATURES, ("user_id",))).groupBy("cluster").count()
+    return c.hierarchical(c.vectors(wide(s), c.COMPARED_FEATURES, ("user_id",)).select("user_id", "features")).select("user_id", "cluster")
 
 
 @check("j07_density_clusters")
 def _(s, spark):
     from pyspark.ml.functions import vector_to_array
     f = c.vectors(wide(s), c.COMPARED_FEATURES, ("user_id",)).select("user_id", vector_to_array("features").alias("x"))
-    return c.density(f, "user_id").groupBy("cluster").count()
+    return c.density(f, "user_id")
 
 
 @check("j08_method_comparison")

@@ -168,9 +168,20 @@ def _(s, spark):
     return rnd(f.autocorrelation(cats(s), 10).select("series", "lag", "acf"), "acf", d=6)
 
 
-@check("r04_partial_autocorrelation")
+PACF = f"""WITH RECURSIVE e AS (SELECT series, day, y - avg(y) OVER (PARTITION BY series) AS e FROM cat_series),
+    x AS (SELECT series, e, {', '.join(f'lag(e, {i}) OVER (PARTITION BY series ORDER BY day) AS l{i}' for i in range(1, 31))} FROM e),
+    r AS (SELECT series, [{', '.join(f'sum(e * l{i}) / sum(e * e)' for i in range(1, 31))}] AS r FROM x GROUP BY 1),
+    d AS (SELECT series, r, 0 AS k, []::DOUBLE[] AS phi, 0.0::DOUBLE AS part FROM r
+          UNION ALL
+          SELECT series, r, k + 1, list_append(list_transform(range(1, k + 1), lambda i: phi[i] - p * phi[k + 1 - i]), p), p
+          FROM (SELECT *, (r[k + 1] - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * r[k + 1 - i])), 0))
+                          / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * r[i])), 0)) AS p FROM d WHERE k < 30))
+    SELECT series, k AS lag, round(r[k], 6) AS acf, round(part, 6) AS pacf FROM d WHERE k > 0"""
+
+
+@check("r04_partial_autocorrelation", PACF)
 def _(s, spark):
-    return f.autocorrelation(cats(s), 30)
+    return rnd(f.autocorrelation(cats(s), 30), "acf", "pacf", d=6)
 
 
 @check("r05_decomposition", f"""WITH t AS (SELECT series, day, y, CAST(dayofweek(day) AS INTEGER) AS weekday, {centred(7)} AS trend FROM cat_series),

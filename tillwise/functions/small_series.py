@@ -8,20 +8,6 @@ import numpy as np
 import pandas as pd
 
 
-def pacf_rows(batches):
-    """One row per series in, one row per lag out."""
-    for pdf in batches:
-        for name, acf in zip(pdf["series"], pdf["acf"]):
-            r = np.asarray(acf, dtype=float)
-            phi, part = np.zeros(0), []
-            for k in range(len(r)):
-                bottom = 1 - float(phi @ r[:k])
-                last = (r[k] - float(phi @ r[:k][::-1])) / bottom if bottom else 0.0
-                phi = np.append(phi - last * phi[::-1], last)
-                part.append(last)
-            yield pd.DataFrame({"series": name, "lag": np.arange(1, len(r) + 1, dtype="int32"), "acf": r, "pacf": part})
-
-
 def arima_rows(name, last_day, y: np.ndarray, periods: int, drift: bool = False) -> pd.DataFrame:
     """ARIMA(p, 1, q) forecast of one series; ``drift`` adds the mean step at every step."""
     steps = np.arange(1, periods + 1)

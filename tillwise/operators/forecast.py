@@ -11,7 +11,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tillwise.functions import small_series
 from tillwise.functions.exprs import is_paid, is_weekend, round_to, safe_divide, year_month
@@ -117,8 +117,33 @@ def autocorrelation(series: DataFrame, lags: int = 30) -> DataFrame:
                                    *[F.coalesce(F.sum(F.col("e") * F.col(f"l{i}")), F.lit(0.0)).alias(f"c{i}")
                                      for i in range(1, lags + 1)])
     acf = F.array(*[safe_divide(f"c{i}", "c0") for i in range(1, lags + 1)])
-    rows = sums.select("series", acf.alias("acf"))
-    return rows.mapInPandas(small_series.pacf_rows, "series string, lag int, acf double, pacf double")
+    rows = sums.select("series", acf.alias("acf")).withColumn("pacf", partial_autocorrelation("acf"))
+    return rows.select("series", F.posexplode(F.arrays_zip("acf", "pacf")).alias("i", "v")).select(
+        "series", (F.col("i") + 1).alias("lag"), "v.acf", "v.pacf")
+
+
+def partial_autocorrelation(acf: str) -> Column:
+    """Durbin-Levinson recursion as a fold over an array of autocorrelations of lags 1, 2, ...
+
+    The state holds the coefficients of the last order and the parts so far. An order whose
+    remaining variance is 0 has part 0; a NULL autocorrelation makes its part and the later ones NULL.
+    """
+    r, none = F.col(acf), F.array().cast("array<double>")
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+
+    def step(state, k):
+        phi = state["phi"]
+        before = F.slice(r, F.lit(1), k - 1)
+        rest = F.lit(1.0) - dot(phi, before)
+        part = F.when(rest == 0, F.lit(0.0)).otherwise((F.get(r, k - 1) - dot(phi, F.reverse(before))) / F.nullif(rest, F.lit(0.0)))
+        lower = F.zip_with(phi, F.reverse(phi), lambda a, b: a - part * b)
+        return F.struct(F.concat(lower, F.array(part)).alias("phi"), F.concat(state["pacf"], F.array(part)).alias("pacf"))
+
+    start = F.struct(none.alias("phi"), none.alias("pacf"))
+    folded = F.aggregate(F.sequence(F.lit(1), F.size(r)), start, step, lambda s: s["pacf"])
+    return F.when(F.size(r) > 0, folded).otherwise(none)
 
 
 # fixed values: KPSS level critical points

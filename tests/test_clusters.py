@@ -77,6 +77,11 @@ def test_density_in_four_dimensions_and_empty(spark):
     assert density.density(frame(spark, rows).limit(0), "id").count() == 0
 
 
+def test_density_broadcasts_no_pairs(spark):
+    plan = density.density(frame(spark, [[0.1 * i, 0.0] for i in range(30)]), "id", min_points=3)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan  # whatever the estimated size
+
+
 def plain_ward(rows, k):
     groups = [[i] for i in range(len(rows))]
     x = np.array(rows, float)

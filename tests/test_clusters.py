@@ -6,6 +6,8 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tillwise.operators import clusters, density, forecast, hierarchy
@@ -148,6 +150,29 @@ def test_silhouette_equals_pairwise(spark):
     assert clusters.silhouette(df.limit(0), "id").first()[0] is None
 
 
+def test_silhouettes_share_one_set_of_distances(spark):
+    rng = random.Random(8)
+    rows = [[rng.gauss(6 * (i % 4), 1.0) for _ in range(3)] for i in range(120)] + [[0.0, 0.0, 0.0]] * 9
+    f = frame(spark, rows).select(F.col("id").alias("user_id"), array_to_vector("x").alias("features"))
+    got = clusters.silhouettes(f, (3, 4), every=1).collect()
+    for r in got:
+        labelled = KMeans(k=r["k"], seed=42, predictionCol="cluster").fit(f).transform(f)
+        points = labelled.select("user_id", "cluster", vector_to_array("features").alias("x"))
+        assert r["silhouette"] == clusters.silhouette(points, "user_id", every=1, block=8).first()[0]
+    assert [r["k"] for r in got] == [3, 4] and got[1]["silhouette"] > 0.7
+
+
+def test_distances_of_near_far_and_odd_rows():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(50, 4)) * 1e4
+    q = np.concatenate([x[:5], x[5:10] + 1e-7, rng.normal(size=(5, 4))])
+    want = np.sqrt(((q[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    assert np.allclose(clusters._distances(q, x), want, rtol=1e-9, atol=0)
+    q[0, 0], x[3, 1] = np.nan, np.inf
+    want = np.sqrt(((q[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    assert np.allclose(clusters._distances(q, x), want, equal_nan=True)
+
+
 def test_partial_autocorrelation_is_the_last_coefficient(spark):
     r = [0.8, 0.5, 0.1, -0.2]
     got = spark.createDataFrame([(r,)], "r array<double>").select(forecast.partial_autocorrelation("r")).first()[0]

@@ -79,6 +79,12 @@ def test_density_in_four_dimensions_and_empty(spark):
     assert density.density(frame(spark, rows).limit(0), "id").count() == 0
 
 
+def test_density_far_from_zero(spark):
+    """Cells so far out that neighbouring numbers are one double are paired once."""
+    got = density.density(frame(spark, [[1e17]] * 10 + [[-1e17]] * 50), "id", "x", 1.0, 50).collect()
+    assert sorted(r["cluster"] for r in got) == [-1] * 10 + [0] * 50
+
+
 def test_density_broadcasts_no_pairs(spark):
     plan = density.density(frame(spark, [[0.1 * i, 0.0] for i in range(30)]), "id", min_points=3)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan  # whatever the estimated size

@@ -239,6 +239,21 @@ def test_group_of_near_copies_below_the_threshold(spark):
     assert got == root and len(set(root.values())) > 20
 
 
+def test_bucket_rows_that_no_other_component_can_match_are_left_out(spark):
+    rng = np.random.default_rng(7)
+    rows = [(0, i, 100, 0, 1, 100.0, True) for i in range(3)] + [(0, 3, 100, 18, 1, 100.0, False), (0, 4, 100, 9, 2, 100.0, True)]
+    rows += [(b, 10 * i, int(rng.integers(80, 130)), int(rng.integers(0, 20)), int(rng.integers(1, 4)) * 10, float(rng.integers(0, 9)), bool(rng.random() < .3))
+             for b in range(1, 30) for i in range(1, 7)]
+    table = spark.createDataFrame(rows, "a long, id long, n int, only int, root long, turn double, probes boolean")
+    kept = {(r.a, r.id) for r in near_dup._several_roots(table, ["a"], 0.8).collect()}
+    assert {i for a, i in kept if a == 0} == {0, 1, 2, 4}  # 18 and 9 that nobody shares are too many; the copies of 3 are its own component
+    for a, i, n, o, root, turn, probes in rows:
+        for b, j, m, p, other, later, _ in rows:
+            if a == b and probes and root != other and (turn, i) < (later, j) and min(n, m) >= 0.8 * max(n, m) and o + p <= 0.25 * min(n - o, m - p):
+                assert {(a, i), (a, j)} <= kept
+    assert len(kept) < len(rows)
+
+
 def test_classes_of_odd_rows(spark, odd_docs, no_docs):
     base = [f"w{i}" for i in range(100)]
     edit = lambda *at: " ".join("other" if i in at else w for i, w in enumerate(base))

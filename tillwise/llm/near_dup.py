@@ -321,14 +321,28 @@ def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roo
 
 
 def _several_roots(rows: DataFrame, bucket: list[str], least: float) -> DataFrame:
-    """Rows of the buckets in which more than one component is found, as far as sizes and unshared k-mers let them match one
-    of the texts that probe there."""
+    """Rows of the buckets in which more than one component is found, as far as sizes, unshared k-mers and turns let them match
+    a text of another component, one of the two being one that probes. For the component with most rows of a bucket the others
+    are taken alone; for the rest, the whole bucket stands for them."""
     asks = lambda c: F.when(F.col("probes"), F.col(c))
-    mixed = rows.groupBy(*bucket).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(asks("only")).alias("least_only"),
-                                      F.min(asks("n")).alias("short"), F.max(asks("n")).alias("long")).where("low <> high").alias("m")
-    fits = ((F.col("x.n") >= F.lit(least) * F.col("m.short") - 1e-9) & (F.lit(least) * F.col("x.n") <= F.col("m.long") + 1e-9)
-            & (F.col("x.only") + F.col("m.least_only") <= (1 / least - 1) * (F.col("x.n") - F.col("x.only")) + 1e-9))
-    return rows.alias("x").join(mixed, reduce(and_, [F.col(f"x.{c}") == F.col(f"m.{c}") for c in bucket]) & fits).select("x.*")
+    kinds = {"only": F.min, "short": F.min, "long": F.max, "ask_only": F.min, "ask_short": F.min, "ask_long": F.max, "ask_turn": F.min}
+    columns = [F.col("only"), F.col("n"), F.col("n"), asks("only"), asks("n"), asks("n"), asks("turn")]
+    per = rows.groupBy(*bucket, "root").agg(F.count("*").alias("rows"), *[f(c).alias(k) for (k, f), c in zip(kinds.items(), columns)])
+    main = per.groupBy(*bucket).agg(F.count("*").alias("roots"), F.max(F.struct("rows", "root")).alias("main")).where("roots > 1").select(
+        *bucket, F.col("main.root").alias("main"))
+    met = per.join(main, bucket).groupBy(*bucket, "main").agg(
+        F.struct(*[f(k).alias(k) for k, f in kinds.items()]).alias("all"),
+        F.struct(*[f(F.when(F.col("root") != F.col("main"), F.col(k))).alias(k) for k, f in kinds.items()]).alias("others"))
+    other = {k: F.when(F.col("x.root") == F.col("m.main"), F.col(f"m.others.{k}")).otherwise(F.col(f"m.all.{k}")) for k in kinds}
+    n, only = F.col("x.n"), F.col("x.only")
+
+    def fits(of: str) -> Column:
+        return ((n >= F.lit(least) * other[f"{of}short"] - 1e-9) & (F.lit(least) * n <= other[f"{of}long"] + 1e-9)
+                & (only + other[f"{of}only"] <= (1 / least - 1) * (n - only) + 1e-9))
+
+    asked = fits("ask_") & (other["ask_turn"] <= F.col("x.turn"))
+    return rows.alias("x").join(met.alias("m"), reduce(and_, [F.col(f"x.{c}") == F.col(f"m.{c}") for c in bucket])
+                                & (asked | (F.col("x.probes") & fits("")))).select("x.*")
 
 
 def _can_match(least: float) -> Column:

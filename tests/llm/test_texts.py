@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm.conftest import TEXTS
 from tillwise.llm import decontaminate, near_dup, quality, registry
-from tillwise.llm.common import words
+from tillwise.llm.common import stored, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -239,6 +239,25 @@ def test_group_of_near_copies_below_the_threshold(spark):
     assert got == root and len(set(root.values())) > 20
 
 
+def test_texts_of_equal_size_too_far_from_their_hub_make_no_bucket_rows(spark, monkeypatch):
+    """Of equal size and with edits of their own, texts that are not linked to the hub can't match those that are; texts with tails
+    of their own behind one long part can."""
+    rng, rows, made = np.random.default_rng(9), [(0, " ".join(f"w{i}" for i in range(304)))] * 2, {}
+    for i in range(1, 81):
+        w = rows[0][1].split()
+        for at in rng.choice(60, 1 if i <= 40 else int(rng.integers(8, 10)), replace=False):
+            w[5 * at] = f"own{i}x{at}"
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(near_dup, "stored", lambda df, label: made.update({label: stored(df, label)}) or made[label])
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 0 if i <= 40 else i for i in range(81)} and made["apart"].count() > 60
+    assert made["extra-kmers"].count() == 0
+    parts = [" ".join([*(f"v{i}" for i in range(300)), *(f"tail{j}x{i}" for i in range(10 + 4 * j))]) for j in range(20)]
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(list(enumerate(parts)), "doc_id long, text string")).collect()}
+    linked = {j for i, j in linked_pairs(list(enumerate(parts)), [0])} | {0}
+    assert {j for j in got if got[j] == 0} >= linked and got == plain_classes(list(enumerate(parts)))
+
+
 def test_bucket_rows_that_no_other_component_can_match_are_left_out(spark):
     rng = np.random.default_rng(7)
     rows = [(0, i, 100, 0, 1, 100.0, True) for i in range(3)] + [(0, 3, 100, 18, 1, 100.0, False), (0, 4, 100, 9, 2, 100.0, True)]

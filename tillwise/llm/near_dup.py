@@ -23,6 +23,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 2   # at similarity 0.8 a sketch agrees with chance 0.64 or so; one of 20 bands of two with 0.99997
 MARKS = 256           # bits of the bitmaps that bound the difference of two texts of one hub
+SIZE_CLASS = 1.01     # ratio of the sizes that are summed up as one where texts of a hub are held against each other
 CELLS = 1 << 20       # hashed k-mers held at once while a text is sketched
 _rng = np.random.default_rng(20)
 _MULTIPLY = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -247,9 +248,11 @@ def classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
 
     1. Equal texts are one text from here on. 2. In each band bucket every text is compared with one hub, that with most
     copies. 3. Texts of one hub that are still in different components can only be alike if they share a k-mer that the
-    hub lacks, or lack common ones (``differences``). So texts that share such a k-mer form buckets of their own: again each
-    is compared with one hub first, and only then what is still apart is compared pair by pair. A group of copies costs a
-    few comparisons per text, however large it is, and no link that joins two components is lost.
+    hub lacks, or lack common ones (``differences``). They are compared with one text of theirs that is not linked to the hub
+    (``_pairs_with_leads``), and those whose size and differences fit no other go (``_with_partners``). Then texts that share
+    such a k-mer form buckets of their own: again each is compared with one hub first, and only then what is still apart is
+    compared pair by pair. A group of copies costs a few comparisons per text, however large it is, and no link that joins
+    two components is lost.
     """
     own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).where("doc_id is not null")
     sketches = stored(sketch(own), "sketches")
@@ -262,9 +265,13 @@ def classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     texts = stored(texts_of(stars, own), "texts-of-pairs")  # all later pairs are among these texts
     compared = stored(compare_with_hubs(stars, texts, least), "hub-pairs")
     roots = stored(components(compared.where("linked").select("a", "b")), "roots")
+    met = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     apart = stored(_rows_apart(compared, roots), "apart")
     if not apart.isEmpty():
-        roots = _roots_of_apart(apart, compared, texts, roots, least)
+        pairs = stored(_pairs_with_leads(apart, least).join(met, ["a", "b"], "left_anti"), "lead-pairs")
+        roots = stored(joined_by(roots, verify(pairs, texts, least)), "lead-roots")
+        apart = stored(_rows_apart(compared, roots), "apart-left")
+        roots = _roots_of_apart(apart, met.unionByName(pairs), texts, roots, least)
     grouped = reps.join(roots, F.col("rep") == F.col("id"), "left").select("key", F.coalesce("root", "rep").alias("class_id"))
     per = sketches.select("doc_id", "key").join(grouped, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     sizes = per.groupBy("class_id").agg(F.count("*").alias("class_size"))
@@ -278,7 +285,17 @@ def _rows_apart(compared: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(mixed, "a")
 
 
-def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+def _pairs_with_leads(apart: DataFrame, least: float) -> DataFrame:
+    """Pairs of each hub's lead and its texts of other components: the lead is, of those that are not linked to the hub, the one
+    with the most room in it. Texts that share a long part beside tails of their own meet here, before all that they lack of
+    the hub puts them into the same buckets."""
+    rows = apart.select("a", F.col("b").alias("id"), "n", "root", "marks", F.lit(0).alias("only"), "linked", (F.col("n") / least - (1 + 1 / least) * F.size("d")).alias("room"))
+    leads = rows.where("not linked").groupBy("a").agg(F.min(F.struct(-F.col("room"), "id", "n", "root", "marks", "only")).alias("lead")).select("a", "lead.*")
+    apart_yet = (F.col("x.a") == F.col("y.a")) & (F.col("x.root") != F.col("y.root")) & _can_match(least)
+    return rows.alias("x").join(leads.alias("y"), apart_yet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def _roots_of_apart(apart: DataFrame, met: DataFrame, texts: DataFrame, roots: DataFrame, least: float) -> DataFrame:
     """``roots`` after the links between texts of one hub that lie in different components.
 
     The k-mers that a hub lacks are ordered by how many of its texts have them. Those of one text come first, and they can't
@@ -293,40 +310,67 @@ def _roots_of_apart(apart: DataFrame, compared: DataFrame, texts: DataFrame, roo
         F.sort_array(F.collect_list(F.struct("texts", "kmer"))).alias("order"))  # as many as the text has
     possible = F.col("only") <= (1 / least - 1) * (F.col("n") - F.col("only")) + 1e-9
     mine = mine.join(per, ["a", "id"]).withColumn("only", F.size("d") - F.size("order")).where(possible & (F.col("take") > F.col("only")))
-    own = mine.select("a", "id", "n", "only", "root", "marks", F.col("n").cast("double").alias("turn"), "probe",
-                      F.posexplode(F.slice("order", F.lit(1), F.col("take") - F.col("only")))).select(
-        "a", F.col("col.kmer").alias("kmer"), F.lit(True).alias("own"), "id", "n", "only", "root", "marks", "turn", (F.col("pos") < F.col("probe") - F.col("only")).alias("probes"))
+    mine = stored(mine.select("a", "id", "n", "only", "root", "marks", "probe", F.slice("order", F.lit(1), F.col("take") - F.col("only")).alias("order")), "prefixes")
+    # As ``take``, for the shortest text that can match instead of the shortest possible one.
+    longest = F.greatest(F.floor((F.col("n") - least * F.col("partner_n")) / (1 + least) + 1e-9).cast("int") + 1 - F.col("only"), F.lit(0))
+    own = _with_partners(mine, least).select("a", "id", "n", "only", "room", "root", "marks", F.col("n").cast("double").alias("turn"), "probe",
+                                             F.posexplode(F.slice("order", F.lit(1), longest))).select(
+        "a", F.col("col.kmer").alias("kmer"), F.lit(True).alias("own"), "id", "n", "only", "room", "root", "marks", "turn", (F.col("pos") < F.col("probe") - F.col("only")).alias("probes"))
     # Texts that share nothing the hub lacks leave all of that unmatched.
-    lacking = apart.withColumnRenamed("b", "id").withColumn("only", F.size("d")).where(possible)
+    lacking = _with_partners(apart.withColumnRenamed("b", "id").withColumn("only", F.size("d")).where(possible), least)
     # No text that probes has more room than the widest of its hub, so the others' lists need be no longer than for that.
     widest = lacking.where("lack_probe > 0").groupBy("a").agg(F.max(F.col("n") / (1 + least) - F.col("only")).alias("widest"))
     lacking = lacking.join(widest, "a").withColumn("lacks", F.slice("lacks", F.lit(1), F.greatest(
         "lack_probe", F.floor(F.col("widest") - least / (1 + least) * F.col("n") + 1e-9).cast("int") + 1, F.lit(0))))
-    lacking = lacking.select("a", "id", "n", "only", "root", "marks", (F.col("only") - F.col("n") / (1 + least)).alias("turn"), "lack_probe", F.posexplode("lacks")).select(
-        "a", F.col("col").alias("kmer"), F.lit(False).alias("own"), "id", "n", "only", "root", "marks", "turn", (F.col("pos") < F.col("lack_probe")).alias("probes"))
+    lacking = lacking.select("a", "id", "n", "only", "room", "root", "marks", (F.col("only") - F.col("n") / (1 + least)).alias("turn"), "lack_probe", F.posexplode("lacks")).select(
+        "a", F.col("col").alias("kmer"), F.lit(False).alias("own"), "id", "n", "only", "room", "root", "marks", "turn", (F.col("pos") < F.col("lack_probe")).alias("probes"))
     bucket = ["a", "kmer", "own"]
     same = reduce(and_, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in bucket]) & (F.col("x.root") != F.col("y.root")) & _can_match(least)
     extra = stored(_several_roots(own.unionByName(lacking), bucket, least), "extra-kmers")
     second = extra.groupBy(*bucket).agg(F.min(F.struct("only", "id", "n", "root", "marks")).alias("hub")).select(*bucket, "hub.*")
     pairs = extra.alias("x").join(second.alias("y"), same).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    pairs = stored(pairs.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "second-pairs")
+    pairs = stored(pairs.join(met, ["a", "b"], "left_anti"), "second-pairs")
     roots = stored(joined_by(roots, verify(pairs, texts, least)), "second-roots")
     renewed = extra.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     renewed = stored(_several_roots(renewed, bucket, least), "extra-kmers-left")
     first = F.struct("x.turn", "x.id") < F.struct("y.turn", "y.id")
     left = renewed.where("probes").alias("x").join(renewed.alias("y"), same & first).select(
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(
-        pairs.unionByName(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))), ["a", "b"], "left_anti")
+        pairs.unionByName(met), ["a", "b"], "left_anti")
     return joined_by(roots, verify(stored(left, "third-pairs"), texts, least))
 
 
+def _with_partners(rows: DataFrame, least: float) -> DataFrame:
+    """Rows (texts of hubs ``a``) for which a text of another component has a fitting size, with the least such size (``partner_n``)
+    and the largest size that the text can match (``room``).
+
+    Of similarity s, texts x and y have s / (1 + s) (|x| + |y|) k-mers in common, and none of the ``only`` of either: |y| is at most
+    (1 + 1 / s)(|x| - only) - |x|, and |x| at most that of y. The texts of a hub are summed up by classes of sizes; the component
+    with most of them is held against the others alone, the rest against all.
+    """
+    rows = rows.withColumn("room", (1 + 1 / least) * (F.col("n") - F.col("only")) - F.col("n") + 1e-9)
+    sized = rows.select("a", "root", "n", "room", F.floor(F.log("n") / math.log(SIZE_CLASS)).alias("class"))
+    beside = F.col("root") != F.col("main")
+    main = sized.groupBy("a", "root").agg(F.count("*").alias("texts")).groupBy("a").agg(F.max(F.struct("texts", "root"))["root"].alias("main"))
+    of = sized.groupBy("a", "root", "class").agg(F.min("n").alias("n"), F.max("room").alias("room")).join(main, "a").groupBy("a", "main", "class").agg(
+        F.struct(F.min("n").alias("n"), F.max("room").alias("room")).alias("all"),
+        F.struct(F.min(F.when(beside, F.col("n"))).alias("n"), F.max(F.when(beside, F.col("room"))).alias("room")).alias("others"))
+    hubs = of.groupBy("a", "main").agg(F.collect_list("all").alias("all"), F.collect_list("others").alias("others"))  # one entry a class
+    fitting = F.filter(F.when(F.col("root") == F.col("main"), F.col("others")).otherwise(F.col("all")),
+                       lambda y: (y["n"] <= F.col("room")) & (F.col("n") <= y["room"]))
+    found = rows.join(hubs, "a").withColumn("partner_n", F.array_min(F.transform(fitting, lambda y: y["n"])))
+    return found.where("partner_n is not null").drop("main", "all", "others")
+
+
 def _several_roots(rows: DataFrame, bucket: list[str], least: float) -> DataFrame:
     """Rows of the buckets in which more than one component is found, as far as sizes, unshared k-mers and turns let them match
     a text of another component, one of the two being one that probes. For the component with most rows of a bucket the others
-    are taken alone; for the rest, the whole bucket stands for them."""
+    are taken alone; for the rest, the whole bucket stands for them. ``room`` is the largest size that a text can match, where
+    rows name none by its own size."""
     asks = lambda c: F.when(F.col("probes"), F.col(c))
-    kinds = {"only": F.min, "short": F.min, "long": F.max, "ask_only": F.min, "ask_short": F.min, "ask_long": F.max, "ask_turn": F.min}
-    columns = [F.col("only"), F.col("n"), F.col("n"), asks("only"), asks("n"), asks("n"), asks("turn")]
+    rows = rows if "room" in rows.columns else rows.withColumn("room", F.col("n") / least + 1e-9)
+    kinds = {"only": F.min, "short": F.min, "room": F.max, "ask_only": F.min, "ask_short": F.min, "ask_room": F.max, "ask_turn": F.min}
+    columns = [F.col("only"), F.col("n"), F.col("room"), asks("only"), asks("n"), asks("room"), asks("turn")]
     per = rows.groupBy(*bucket, "root").agg(F.count("*").alias("rows"), *[f(c).alias(k) for (k, f), c in zip(kinds.items(), columns)])
     main = per.groupBy(*bucket).agg(F.count("*").alias("roots"), F.max(F.struct("rows", "root")).alias("main")).where("roots > 1").select(
         *bucket, F.col("main.root").alias("main"))
@@ -337,7 +381,7 @@ def _several_roots(rows: DataFrame, bucket: list[str], least: float) -> DataFram
     n, only = F.col("x.n"), F.col("x.only")
 
     def fits(of: str) -> Column:
-        return ((n >= F.lit(least) * other[f"{of}short"] - 1e-9) & (F.lit(least) * n <= other[f"{of}long"] + 1e-9)
+        return ((other[f"{of}short"] <= F.col("x.room")) & (n <= other[f"{of}room"])
                 & (only + other[f"{of}only"] <= (1 / least - 1) * (n - only) + 1e-9))
 
     asked = fits("ask_") & (other["ask_turn"] <= F.col("x.turn"))

@@ -1,6 +1,7 @@
 """URL filter, sharding, mixing, token files and top-k against plain Python."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -145,6 +146,29 @@ def test_token_files(spark, odd_docs, encoding):
     assert tokens.write_and_index(docs.where("false"), path).count() == 0
 
 
+def test_tokens_of_a_batch_meet_the_tokenizer_once(monkeypatch, tmp_path):
+    import pyarrow as pa
+    from tokenizers import Tokenizer, normalizers
+
+    own = Tokenizer.from_file(registry.tokenizer_path())
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeilnorstuvw\u00e9\u00df\u0416\u4e2d", k=7)) for _ in range(400)]
+    texts = ["Of " + " ".join(w + rng.choice(["", "", ",", ".", "!?", "\nAnd"]) for w in rng.choices(words, k=60)) for _ in range(200)]
+    texts += [None, "", " ", "a  b", "x\u00b2, \u0915\u093f. e\u0301, \u2167! _. '. it's.", "<|endoftext|>, a", "\u2028 x \u200b, y", "z" * 5000]
+    want = [own.encode(t or "", add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 200)  # most words are not remembered, yet each is looked up once a batch
+    enc, whole, merged = tokens.Encoder(registry.tokenizer_path()), [], Counter()
+    monkeypatch.setattr(enc, "whole", lambda t, f=enc.whole: whole.append(t) or f(t))
+    monkeypatch.setattr(enc, "_merged", lambda p, s, f=enc._merged: merged.update([(p, s)]) or f(p, s))
+    assert enc.batch(pa.array(texts)).to_pylist() == want
+    assert len(whole) < 60 and not set(words) & {t.strip() for t in whole}  # letters never take the tokenizer's long way
+    assert max(merged[w, True] for w in words) <= 6  # 60 times a word on average: at most once with each ending
+    assert enc.batch(pa.array(texts).slice(3, 90)).to_pylist() == want[3:93]
+    own.normalizer = normalizers.Lowercase()  # another kind of tokenizer
+    own.save(path := str(tmp_path / "lower.json"))
+    assert tokens.Encoder(path).batch(pa.array(["AbC deF, Gh.", "XyZ"])).to_pylist() == [own.encode(t, add_special_tokens=False).ids for t in ("AbC deF, Gh.", "XyZ")]
+
+
 def test_file_layout(spark):
     import glob
 

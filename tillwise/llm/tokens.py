@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tillwise.llm.common import new_path, slices, stored
 
 END_ID = 2
 KEPT_PIECES = 500_000    # pieces of text whose ids a Python worker remembers (about 120 MB); more only costs time
+ROWS_TOGETHER = 2_000    # documents whose pieces are looked up together; their bytes are bounded as everywhere
 PART_BYTES = 32 << 20    # text bytes aimed at per output file
 ROW_GROUP = 16 << 20
 PAGE_ROWS = 256          # documents per page: what a selective read has to decode
@@ -29,48 +32,99 @@ _CUT = re.compile(rf"\x20(?=[^{_SPACES}])")
 _UNSURE = re.compile(rf"\x20(?:[{_SPACES}]|$)")
 _LETTERS_MARKS = re.compile(r"([^\W\d_]+)([^\w\s']+)")
 _LINES = re.compile(r"(\S+)\n(\S+)")
+_MARKS = ".,;:!?"
 _encoders: dict[str, "Encoder"] = {}
 
 
+class Letters(dict):
+    """For ``str.translate``: letters as the byte level vocabulary writes them; whatever its pattern does not join to a letter becomes a space."""
+
+    def __init__(self, level) -> None:
+        self.level = level
+
+    def __missing__(self, code: int) -> str:
+        split = self.level.pre_tokenize_str("a" + chr(code))
+        self[code] = split[0][0][1:] if len(split) == 1 else " "
+        return self[code]
+
+
 class Encoder:
-    """A tokenizer that remembers the ids of the pieces it has met. ``ids`` returns little-endian unsigned 32-bit ids."""
+    """A tokenizer that remembers the ids of the pieces it has met. Ids are bytes, little-endian unsigned 32-bit each."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.known: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
+        level = self.tokenizer.pre_tokenizer
+        self.letters = self.model = None
+        if (isinstance(level, ByteLevel) and level.use_regex and not level.add_prefix_space and self.tokenizer.normalizer is None
+                and self.tokenizer.truncation is None):
+            self.letters, self.model = Letters(level), self.tokenizer.model
+            self.space = level.pre_tokenize_str(" ")[0][0]
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
+        """One text, also one whose spaces don't all end a piece."""
         if any(s in text for s in self.special):
             return self.whole(text)
-        first, *rest = text.split(" ") if _UNSURE.search(text) is None else _CUT.split(text)
-        known, out = self.known, [self.whole(first)]
+        first, *rest = _CUT.split(text)
+        known, out = self.known, [self._bare(first)]
         for piece in rest:
             out.append(known.get(piece) or self._spaced(piece))
         return b"".join(out)
 
+    def batch(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of every text, null as empty. Arrow splits the texts and numbers the pieces, so that each is looked up once a batch."""
+        strings = [t or "" for t in texts.to_pylist()]
+        odd = [_UNSURE.search(t) is not None or any(s in t for s in self.special) for t in strings]
+        lists = pc.split_pattern(pc.if_else(pa.array(odd, pa.bool_()), "", texts.fill_null("")), " ")
+        at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        numbered = lists.flatten().dictionary_encode()
+        n, places = len(numbered.dictionary), np.array(numbered.indices, np.int64)
+        places[at[:-1]] = n + np.arange(len(strings))  # no space before the first piece; an odd text is one piece
+        spaced = np.bincount(places, minlength=n)[:n] > 0
+        pieces = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes ten times as long
+        found = [self.known.get(p) or self._spaced(p) if s else b"" for p, s in zip(pieces, spaced.tolist())]
+        found += [self.ids(t) if o else self._bare(t.partition(" ")[0]) for t, o in zip(strings, odd)]
+        ends = np.cumsum(np.fromiter(map(len, [b"", *found]), np.int64)) // 4
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4"))).take(pa.array(places))
+        return pa.ListArray.from_arrays(ids.offsets.take(pa.array(at)), ids.values)
+
     def _spaced(self, piece: str) -> bytes:
         """Ids of a piece with the space before it. A run of letters, a run of marks after it and a single line break are
-        tokenized apart by the vocabulary's pattern, so the parts are looked up by themselves."""
-        if m := _LETTERS_MARKS.fullmatch(piece):
-            got = (self.known.get(m[1]) or self._spaced(m[1])) + self._bare(m[2])
-        elif m := _LINES.fullmatch(piece):
-            got = (self.known.get(m[1]) or self._spaced(m[1])) + self._bare("\n") + self._bare(m[2])
-        else:
+        tokenized apart by the vocabulary's pattern, so the parts are looked up by themselves and only they are remembered."""
+        head = piece.rstrip(_MARKS)
+        if len(head) < len(piece) and head[-1:].isalnum():
+            return (self.known.get(head) or self._spaced(head)) + self._bare(piece[len(head):])
+        if "\n" in piece and (m := _LINES.fullmatch(piece)):
+            return (self.known.get(m[1]) or self._spaced(m[1])) + self._bare("\n") + self._bare(m[2])
+        if (got := self._merged(piece, True)) is None:
+            if m := _LETTERS_MARKS.fullmatch(piece):
+                return (self.known.get(m[1]) or self._spaced(m[1])) + self._bare(m[2])
             got = self.whole(" " + piece)
         return self._keep(self.known, piece, got)
 
     def _bare(self, piece: str) -> bytes:
-        return self.bare.get(piece) or self._keep(self.bare, piece, self.whole(piece))
+        if (got := self.bare.get(piece)) is None:
+            got = self._merged(piece, False)
+            got = self._keep(self.bare, piece, self.whole(piece) if got is None else got)
+        return got
+
+    def _merged(self, piece: str, spaced: bool) -> bytes | None:
+        """Ids of a run of letters, which the pattern leaves whole, straight from the tokenizer's merges; None for other pieces."""
+        if self.model is None or " " in (run := piece.translate(self.letters)):
+            return None
+        return array("I", [t.id for t in self.model.tokenize(self.space + run if spaced else run)]).tobytes()
 
     def _keep(self, where: dict[str, bytes], piece: str, got: bytes) -> bytes:
-        if len(self.known) + len(self.bare) < KEPT_PIECES and len(piece) < 24:
+        most = KEPT_PIECES // 10 if where is self.bare else KEPT_PIECES * 9 // 10  # room for marks, however many words there are
+        if len(where) < most and len(piece) < 24:
             where[piece] = got
         return got
 
@@ -83,18 +137,17 @@ def encoder(path: str) -> Encoder:
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``tokens`` (with the end id) of rows with ``doc_id`` and ``text``; null text counts as empty."""
-    end = np.asarray([end_id], "<u4").tobytes()
-    kind = pa.list_(pa.int32())
+    end = int(np.uint32(end_id).view(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for batch in slices(batches):
-            rows = [enc.ids(t or "") + end for t in batch.column("text").to_pylist()]
-            counts = np.asarray([len(r) // 4 for r in rows], np.int64)
-            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            values = np.frombuffer(b"".join(rows), "<i4")
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)).cast(kind)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), lists], names=["doc_id", "n_tokens", "tokens"])
+        for batch in slices(batches, ROWS_TOGETHER):
+            ids = enc.batch(batch.column("text"))
+            starts = ids.offsets.to_numpy()
+            values = np.insert(ids.values.to_numpy(), starts[1:], end)
+            starts = starts + np.arange(len(starts), dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(values))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(starts).astype(np.int64)), lists], names=["doc_id", "n_tokens", "tokens"])
 
     return docs.mapInArrow(run, "doc_id long, n_tokens long, tokens array<int>")
 

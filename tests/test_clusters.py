@@ -187,3 +187,30 @@ def test_partial_autocorrelation_is_the_last_coefficient(spark):
     assert got == pytest.approx(want)
     odd = spark.createDataFrame([([],), ([1.0, 0.5],)], "r array<double>").select(forecast.partial_autocorrelation("r")).collect()
     assert odd[0][0] == [] and odd[1][0] == [1.0, 0.0]
+
+
+def plain_silhouette(rows):
+    """Mean over (x, cluster) rows, noise left out."""
+    kept, out = [r for r in rows if r[1] >= 0], []
+    for i, (x, c) in enumerate(kept):
+        by = {}
+        for j, (y, o) in enumerate(kept):
+            if j != i:
+                by.setdefault(o, []).append(math.dist(x, y))
+        a, b = (sum(v) / len(v) if v else None for v in (by.get(c, []), min((v for o, v in by.items() if o != c), key=lambda v: sum(v) / len(v), default=[])))
+        out.append(0.0 if a is None or b is None or max(a, b) == 0 else (b - a) / max(a, b))
+    return sum(out) / len(out)
+
+
+def test_silhouettes_measure_every_row(spark):
+    """No id is divisible by 50; equal rows count as often as they come, also in different clusters."""
+    rng = random.Random(5)
+    rows = [[rng.gauss(2 * (i % 3), 1.0) for _ in range(2)] for i in range(40)] + [[0.5, 0.5]] * 7
+    f = spark.createDataFrame([(50 * i + 1, x) for i, x in enumerate(rows)], "user_id long, x array<double>").withColumn("features", array_to_vector("x"))
+    got = clusters.silhouettes(f.select("user_id", "features"), (3,)).first()
+    labelled = KMeans(k=3, seed=42).fit(f).transform(f).collect()
+    assert got["silhouette"] == pytest.approx(plain_silhouette([(r["x"], r["prediction"]) for r in labelled]), abs=1e-4)
+    mixed = [(50 * i + 1, x, i % 3 - (i % 7 == 0)) for i, x in enumerate(rows)]
+    df = spark.createDataFrame(mixed, "id long, x array<double>, cluster int")
+    for block in (5, 1000):
+        assert clusters.silhouette(df, "id", block=block).first()[0] == pytest.approx(plain_silhouette([r[1:] for r in mixed]), abs=1e-4)

@@ -214,3 +214,16 @@ def test_silhouettes_measure_every_row(spark):
     df = spark.createDataFrame(mixed, "id long, x array<double>, cluster int")
     for block in (5, 1000):
         assert clusters.silhouette(df, "id", block=block).first()[0] == pytest.approx(plain_silhouette([r[1:] for r in mixed]), abs=1e-4)
+
+
+def test_compared_methods_measure_every_row(spark):
+    rng = random.Random(7)
+    rows = [(50 * i + 3, rng.gauss(8 * (i % 2), 1.0), rng.gauss(0, 1.0)) for i in range(60)] + [(50 * i + 3, 40.0, 9.0) for i in range(60, 64)]
+    wide = spark.createDataFrame(rows, "user_id long, a double, b double").persist()
+    got = {r["method"]: r for r in clusters.compare(wide, ("a", "b"), k=3, eps=0.5, min_points=4).collect()}
+    f = clusters.vectors(wide, ("a", "b"), ("user_id",)).withColumn("x", vector_to_array("features"))
+    found = {"kmeans": KMeans(k=3, seed=42, predictionCol="cluster").fit(f).transform(f), "hierarchical": hierarchy.ward(f, 3),
+             "dbscan": f.join(density.density(f, "user_id", "x", 0.5, 4), "user_id")}
+    assert got["dbscan"]["clusters"] >= 2
+    for name, df in found.items():
+        assert got[name]["silhouette"] == pytest.approx(plain_silhouette([(r["x"], r["cluster"]) for r in df.collect()]), abs=1e-4)

@@ -205,3 +205,17 @@ def test_topk_odd_vectors(spark):
     assert {r[0] for r in got} == {i for i in code if i % 50 == 0} and all(d == sum(a != b for a, b in zip(code[q], code[i])) for q, _, i, d in got)
     few = topk.search(table.where("vec_id < 4")).collect()
     assert len(few) == 3
+
+
+def test_topk_broadcasts_nothing(spark, monkeypatch):
+    """Probes are many more than the rows that size estimates see."""
+    plans = []
+
+    def watched(df, label, stored=topk.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(topk, "stored", watched)
+    table = spark.createDataFrame([(i, [float((i * j) % 7 - 3) for j in range(1, 9)]) for i in range(60)], "vec_id long, embedding array<float>")
+    plans.append(topk.search(table, k=3)._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)

@@ -38,6 +38,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined(left: DataFrame, right: DataFrame, on: Column | str | list[str], how: str = "inner") -> DataFrame:
+    """A join by sorting, whatever the estimated sizes: they are those of compressed files and do not see the rows that an
+    explode or a map over batches adds, so that such a side would be broadcast through the driver's memory."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_PER_BATCH, size: int = BYTES_PER_BATCH) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches (64 MB at most by Spark's own setting) in parts that bound what a worker holds as Python objects."""
     for batch in batches:

@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tillwise.llm.common import stored
+from tillwise.llm.common import joined, stored
 
 WIDEST = 20  # bits of a segment at most: bounds the masks of one radius (184,756) that are formed in one value
 
@@ -81,22 +81,22 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, k: int = 10, id
                             for j, w in enumerate(widths)])
         probed = open_queries.withColumn("mask", F.explode(masks)).select(*asked, "bound", F.explode(buckets).alias("at")).select(
             *asked, "bound", "at.seg", "at.value").where("value is not null")
-        hit = probed.join(index, ["seg", "value"]).withColumn("distance", _distance("q", "s", m)).where("distance <= bound")
+        hit = joined(probed, index, ["seg", "value"]).withColumn("distance", _distance("q", "s", m)).where("distance <= bound")
         new = hit.select(*asked, "distance", *columns, "ids")
-        pool = (new if found is None else new.unionByName(found.join(open_queries.select(*asked), asked, "left_semi"))).dropDuplicates(asked + columns)
+        pool = (new if found is None else new.unionByName(joined(found, open_queries.select(*asked), asked, "left_semi"))).dropDuplicates(asked + columns)
         ranked = pool.withColumn("id", F.explode("ids")).withColumn("rn", F.row_number().over(W.partitionBy(*asked).orderBy("distance", "id"))).where(
             F.col("rn") <= k + 1)
         found = stored(ranked.groupBy(*asked, "distance", *columns).agg(F.sort_array(F.collect_list("id")).alias("ids")), "found")
         covered = m * (radius + 1) - 1
         state = found.groupBy(*asked).agg(F.sum(F.size("ids")).alias("have"), F.max("distance").alias("kth"))
-        state = open_queries.drop("bound").join(state, asked, "left").withColumn("full", F.coalesce(F.col("have") > k, F.lit(False)))
+        state = joined(open_queries.drop("bound"), state, asked, "left").withColumn("full", F.coalesce(F.col("have") > k, F.lit(False)))
         closed = F.lit(True) if covered >= bits else F.col("full") & (F.col("kth") <= covered)
         state = stored(state.withColumn("closed", closed), "search-state")
-        answers = found.join(state.where("closed").select(*asked), asked, "left_semi").select(*asked, "distance", "ids")
+        answers = joined(found, state.where("closed").select(*asked), asked, "left_semi").select(*asked, "distance", "ids")
         done = answers if done is None else done.unionByName(answers)
         open_queries = stored(state.where("not closed").select(*asked, F.when(F.col("full"), F.col("kth")).otherwise(F.lit(bits)).alias("bound")), "open-queries")
         if covered >= bits or open_queries.isEmpty():
             break
-    out = chosen.join(done, asked).select(F.col("id").alias("query_id"), "distance", F.explode("ids").alias("neighbour_id")).where("query_id <> neighbour_id")
+    out = joined(chosen, done, asked).select(F.col("id").alias("query_id"), "distance", F.explode("ids").alias("neighbour_id")).where("query_id <> neighbour_id")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("distance", "neighbour_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "neighbour_id", "distance")

@@ -241,3 +241,17 @@ def test_range_minimum():
         right = next((i - 1 for i in range(at + 1, 37) if values[i] < depth), 36)
         left = next((i for i in range(at, 0, -1) if values[i] < depth), 0)
         assert table.right(np.array([at]), np.array([depth])) == right and table.left(np.array([at]), np.array([depth])) == left
+
+
+def test_spelling_broadcasts_nothing(spark, monkeypatch):
+    """Keys of words are many more than the rows that size estimates see."""
+    plans = []
+
+    def watched(df, label, stored=spelling.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(spelling, "stored", watched)
+    docs = spark.createDataFrame([(1, "brand " * 9 + "brend " * 4 + "trend " * 3)], "doc_id long, text string")
+    plans.append(spelling.group(docs)._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.llm.common import map_rows, slices, stored
+from tillwise.llm.common import joined, map_rows, slices, stored
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 SHORTEST = 5           # code points; shorter words have too few bigrams for the lemma
@@ -122,7 +122,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     a, b = keys(True).alias("a"), keys(False).alias("b")
     near = ((F.col("a.key") == F.col("b.key")) & (F.col("a.last") <= F.col("b.last")) & (F.col("a.word") != F.col("b.word"))
             & (F.levenshtein("a.word", "b.word", 1) == 1))
-    found = a.join(b, near).select(F.array(F.struct("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n")),
+    found = joined(a, b, near).select(F.array(F.struct("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n")),
                                            F.struct("b.word", "b.n", F.col("a.word").alias("near"), F.col("a.n").alias("near_n"))).alias("both"))
     return found.select(F.inline("both")).distinct()
 
@@ -133,7 +133,7 @@ def roots(links: DataFrame) -> DataFrame:
     now = stored(links.select("word", F.col("form").alias("root"), F.lit(True).alias("open")), "forms")
     while not now.where("open").isEmpty():
         ahead = now.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        now = stored(now.join(ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("open")),
+        now = stored(joined(now, ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("open")),
                      "forms")
     return now.select("word", "root")
 
@@ -151,5 +151,5 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     formed = F.when(-F.col("best.m") >= 2 * F.col("n"), F.col("best"))
     forms = stored(best.select("word", "n_near", formed["near"].alias("form"), (-formed["m"]).alias("form_n")), "near-words")
     ends = roots(forms.where("form is not null"))
-    return words.join(forms, "word", "left").join(ends, "word", "left").select(
+    return joined(joined(words, forms, "word", "left"), ends, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form", "form_n", F.coalesce("root", "word").alias("root"))
